@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import dac, mixing, packing, rules
+from . import dac, langid, mixing, packing, rules, secrets, urls
 from .common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +26,18 @@ def op3_quality_rules(spark, sf_dir):
     return rules.judge(read(spark, sf_dir, "documents"))
 
 
+def op4_secret_scans(spark, sf_dir):
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
+def op6_url_filters(spark, sf_dir):
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
+def op7_language_id(spark, sf_dir):
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def op9_addressable_codes(spark, sf_dir):
     return dac.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -34,6 +46,9 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_secret_scans": op4_secret_scans,
+    "op6_url_filters": op6_url_filters,
+    "op7_language_id": op7_language_id,
     "op9_addressable_codes": op9_addressable_codes,
 }
-ORACLE_SQL = {"op2_mixing": mixing.ORACLE, "op3_quality_rules": rules.ORACLE}
+ORACLE_SQL = {"op2_mixing": mixing.ORACLE, "op3_quality_rules": rules.ORACLE, "op6_url_filters": urls.ORACLE}
