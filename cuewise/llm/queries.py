@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import dac, langid, mixing, packing, rules, secrets, urls
+from . import dac, langid, mixing, neardup, packing, rules, secrets, toxicity, urls
 from .common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op4_secret_scans(spark, sf_dir):
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark, sf_dir):
+    return neardup.find(read(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark, sf_dir):
     return urls.judge(read(spark, sf_dir, "pages"))
 
@@ -42,13 +46,19 @@ def op9_addressable_codes(spark, sf_dir):
     return dac.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_toxicity(spark, sf_dir):
+    return toxicity.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
+    "op5_near_dedup": op5_near_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_language_id": op7_language_id,
     "op9_addressable_codes": op9_addressable_codes,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL = {"op2_mixing": mixing.ORACLE, "op3_quality_rules": rules.ORACLE, "op6_url_filters": urls.ORACLE}
