@@ -13,7 +13,7 @@ together; columns other than the key, source and text are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,15 +28,19 @@ MOST_BROADCAST = 100_000
 
 def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """key, source, size in words and hash, and nothing else."""
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
     return docs.select(
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
         F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD_PATTERN)).cast("long").alias("size"),
-        h.alias("h"),
+        hashed(F.col(key)).alias("h"),
     )
 
 
+def hashed(key: Column) -> Column:
+    """The 60-bit hash of a key; null counts as an empty string."""
+    return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
 def ranked(spark: SparkSession, sources: DataFrame) -> DataFrame:
     """sources with rank from 0 by code point, null last: ranges are numbered in parallel, then shifted."""
 
@@ -145,20 +149,27 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", "last")
 
 
+def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """_source, _total, _target, _whole (times that all of it is taken), _last (up to which hash once more)."""
+    t = targets(sized.sparkSession, sized, weights, most)
+    whole = F.when(F.col("total") > 0, F.least(F.floor(F.col("target") / F.col("total")), F.lit(most))).otherwise(F.lit(0)).cast("long")
+    t = table(t.withColumn("whole", whole), "targets")
+    last = thresholds(sized, t.select("source", (F.col("target") - F.col("whole") * F.col("total")).alias("budget")))
+    j = t.join(last.select(F.col("source").alias("_source"), F.col("last").alias("_last")), F.col("source").eqNullSafe(F.col("_source")))
+    return table(j.select("_source", F.col("total").alias("_total"), F.col("target").alias("_target"), F.col("whole").alias("_whole"), "_last"), "plan")
+
+
+def copies(whole: Column, h: Column, last: Column, most: int = MOST_REPEATS) -> Column:
+    return F.least(whole + F.when(h <= last, 1).otherwise(0), F.lit(most)).cast("int")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of docs; taken is size times the copies the mix holds."""
-    spark = docs.sparkSession
     s = table(sized(docs), "sizes")
-    t = table(targets(spark, s, weights, most).coalesce(8), "targets")
-    n = t.count()
-    whole = F.when(F.col("total") > 0, F.least(F.floor(F.col("target") / F.col("total")), F.lit(most))).otherwise(F.lit(0)).cast("long")
-    t = t.withColumn("whole", whole)
-    last = thresholds(s, t.select("source", (F.col("target") - F.col("whole") * F.col("total")).alias("budget")))
-    plan = t.join(last.select(F.col("source").alias("s"), "last"), F.col("source").eqNullSafe(F.col("s"))).select(F.col("source").alias("s"), "total", "target", "whole", "last")
-    out = s.join(bounded_broadcast(plan, n, MOST_BROADCAST), F.col("source").eqNullSafe(F.col("s")))
-    copies = F.col("whole") + F.when(F.col("h") <= F.col("last"), 1).otherwise(0)
-    copies = F.least(copies, F.lit(most))
-    return out.select("doc_id", "size", F.col("total").alias("source_size"), "target", (F.col("size") * copies).cast("long").alias("taken"), copies.cast("int").alias("copies"))
+    p = plan(s, weights, most)
+    out = s.join(bounded_broadcast(p, p.count(), MOST_BROADCAST), F.col("source").eqNullSafe(F.col("_source")))
+    n = copies(F.col("_whole"), F.col("h"), F.col("_last"), most)
+    return out.select("doc_id", "size", F.col("_total").alias("source_size"), F.col("_target").alias("target"), (F.col("size") * n).cast("long").alias("taken"), n.alias("copies"))
 
 
 ORACLE = rf"""

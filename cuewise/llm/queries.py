@@ -50,6 +50,12 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
@@ -60,5 +66,6 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op9_addressable_codes": op9_addressable_codes,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 ORACLE_SQL = {"op2_mixing": mixing.ORACLE, "op3_quality_rules": rules.ORACLE, "op6_url_filters": urls.ORACLE}
