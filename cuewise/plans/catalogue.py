@@ -1,2 +1,545 @@
-QUERIES = {}
-ORACLE_SQL = {}
+"""The query catalogue over the driver's tables, each with SQL for the same rows where SQL can express it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schema
+from ..functions import textnorm, timefmt, urls
+from ..operators import chunking, disagree, intervals, quality, review, tagged
+from ..sources import fixtures as fx
+from ..sources import models, transcripts
+from . import render
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+CUTOFF = 60_000
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+CLOCK = "printf('%02d:%02d:%02d{m}%03d', greatest({t}, 0) // 3600000, greatest({t}, 0) // 60000 % 60, greatest({t}, 0) // 1000 % 60, greatest({t}, 0) % 1000)"
+VERDICT = f"""CASE WHEN trim(text) = '' THEN 'empty_text' WHEN end_ms <= start_ms THEN 'invalid_or_zero_duration'
+  WHEN end_ms > {CUTOFF} THEN 'after_cutoff' ELSE 'kept' END"""
+
+
+def clock_sql(t: str, mark: str) -> str:
+    return CLOCK.format(t=t, m=mark)
+
+
+# Scans
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, ord, start_ms, end_ms, speaker, text FROM seg")
+def segments_scan(spark: SparkSession, d: str) -> DataFrame:
+    return fx.seg(spark, d)
+
+
+@query(f"WITH {fx.SQL_TURNS} SELECT rec, ord, start_ms, end_ms, speaker FROM turns")
+def turns_scan(spark, d):
+    return fx.turns(spark, d)
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, ord, start_ms, end_ms, speaker, text FROM seg")
+def transcript_json_roundtrip(spark, d):
+    """Segments nested into one JSON document a recording and scanned again by the declared schema."""
+    s = F.struct(timefmt.to_seconds(F.col("start_ms")).alias("start"), timefmt.to_seconds(F.col("end_ms")).alias("end"), F.col("speaker").alias("speaker_id"), "text")
+    got = F.array_sort(F.collect_list(F.struct("ord", s.alias("s"))))
+    docs = fx.seg(spark, d).groupBy("rec").agg(F.to_json(F.struct(F.transform(got, lambda x: x["s"]).alias("segments"))).alias("json"))
+    parsed = docs.select("rec", F.from_json("json", schema.TRANSCRIPT).alias("j")).select("rec", "j.*")
+    return transcripts.diarized_segments(parsed).select("rec", "ord", "start_ms", "end_ms", "speaker", "text")
+
+
+def blobs(spark, d) -> DataFrame:
+    """seg as tagged text, one a recording; brackets and colons in the words stay out of the names."""
+    one = F.concat(F.lit("["), (F.col("start_ms") / 1000).cast("decimal(18,3)").cast("string"), F.lit("]"), F.col("speaker"), F.lit(": "), F.regexp_replace("text", r"\[\d", "("), F.lit("["), (F.col("end_ms") / 1000).cast("decimal(18,3)").cast("string"), F.lit("]"))
+    return render._ordered(fx.seg(spark, d), one, "\n", "ord", "text")
+
+
+TAGGED_SQL = f"""
+WITH {fx.SQL_SEG}, x AS (
+  SELECT rec, (ord + 1)::BIGINT AS id, start_ms / 1000.0 AS relative_start, end_ms / 1000.0 AS relative_end,
+    speaker AS model_speaker_guess,
+    trim(regexp_replace(regexp_replace(text, '\\[\\d', '(', 'g'), '\\s+', ' ', 'g')) AS text FROM seg
+)"""
+
+
+@query(f"{TAGGED_SQL} SELECT rec, id, relative_start, relative_end, model_speaker_guess, text FROM x")
+def tagged_extract(spark, d):
+    return tagged.extract(blobs(spark, d)).select("rec", "id", "relative_start", "relative_end", "model_speaker_guess", "text")
+
+
+@query(f"{TAGGED_SQL} SELECT rec, id, relative_start + rec * 10.0::DOUBLE AS absolute_start, relative_end + rec * 10.0::DOUBLE AS absolute_end FROM x")
+def tagged_offset(spark, d):
+    return tagged.extract(blobs(spark, d), offset_s=F.col("rec") * F.lit(10.0)).select("rec", "id", "absolute_start", "absolute_end")
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, speaker, count(*)::BIGINT AS n, min(ord)::BIGINT AS first_ord FROM seg GROUP BY rec, speaker")
+def guess_counts(spark, d):
+    return tagged.guess_counts(fx.seg(spark, d), "speaker", "ord")
+
+
+# Filters, routing, remapping
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, ord, CASE WHEN ord = 0 THEN 7540 ELSE start_ms END::BIGINT AS start_ms, end_ms, CASE speaker WHEN 'user' THEN 'Guest' WHEN 'assistant' THEN 'Host' ELSE speaker END AS speaker, speaker AS original_speaker_id FROM seg WHERE start_ms < {CUTOFF}")
+def cutoff_by_start(spark, d):
+    names = {"user": "Guest", "assistant": "Host"}
+    return review.diarized(fx.seg(spark, d), CUTOFF, names=names).select("rec", "ord", "start_ms", "end_ms", "speaker", "original_speaker_id")
+
+
+@query(f"WITH {fx.SQL_DIRTY} SELECT rec, ord, start_ms, end_ms FROM dirty WHERE end_ms <= {CUTOFF}")
+def cutoff_by_end(spark, d):
+    return fx.seg_dirty(spark, d).where(F.col("end_ms") <= CUTOFF).select("rec", "ord", "start_ms", "end_ms")
+
+
+@query(f"WITH {fx.SQL_DIRTY} SELECT rec, ord, {VERDICT} AS verdict FROM dirty")
+def reject_routing(spark, d):
+    return review.route(fx.seg_dirty(spark, d), CUTOFF).select("rec", "ord", "verdict")
+
+
+@query(f"""WITH {fx.SQL_DIRTY}, v AS (SELECT rec, {VERDICT} AS v FROM dirty)
+SELECT rec, count(*)::BIGINT AS source_segment_count, count(*) FILTER (WHERE v = 'kept')::BIGINT AS segment_count,
+  count(*) FILTER (WHERE v = 'empty_text')::BIGINT AS empty_text,
+  count(*) FILTER (WHERE v = 'invalid_or_zero_duration')::BIGINT AS invalid_or_zero_duration,
+  count(*) FILTER (WHERE v = 'after_cutoff')::BIGINT AS after_cutoff FROM v GROUP BY rec""")
+def reject_counters_wide(spark, d):
+    return review.counters(review.route(fx.seg_dirty(spark, d), CUTOFF))
+
+
+@query(f"""WITH {fx.SQL_DIRTY}, v AS (SELECT *, {VERDICT} AS v FROM dirty)
+SELECT rec, row_number() OVER (PARTITION BY rec ORDER BY ord)::BIGINT AS id, ord, start_ms, end_ms, speaker, trim(text) AS text,
+  {clock_sql('start_ms', ',')} || ' --> ' || {clock_sql('end_ms', ',')} AS span FROM v WHERE v = 'kept'""")
+def kept_renumbered(spark, d):
+    kept = review.kept(review.route(fx.seg_dirty(spark, d), CUTOFF))
+    span = F.concat(timefmt.srt_clock(F.col("start_ms")), F.lit(" --> "), timefmt.srt_clock(F.col("end_ms")))
+    return kept.select("rec", "id", "ord", "start_ms", "end_ms", "speaker", "text", span.alias("span"))
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, ord, CASE speaker WHEN 'user' THEN 'Guest' WHEN 'assistant' THEN 'Host' ELSE speaker END AS speaker, speaker AS original_speaker_id FROM seg")
+def speaker_remap(spark, d):
+    names = spark.createDataFrame([("user", "Guest"), ("assistant", "Host")], "id string, display_name string")
+    return review.remap_by(fx.seg(spark, d), names, rec=False).select("rec", "ord", "speaker", "original_speaker_id")
+
+
+@query("""SELECT * FROM (VALUES (0::BIGINT, NULL::BIGINT, 2000::BIGINT, '', NULL::DOUBLE, 'empty_text'),
+ (1, 0, 1000, 'a', -0.5, 'kept'), (2, 2000, 0, 'b', NULL, 'invalid_or_zero_duration'), (3, 500, NULL, 'c', NULL, 'invalid_or_zero_duration'))
+ t(ord, start_ms, end_ms, text, avg_logprob, verdict)""")
+def optional_fields(spark, d):
+    """Absent, null and NaN fields of a literal document."""
+    text = '{"segments":[{"start":NaN,"end":2.0},{"end":1.0,"text":"a","avg_logprob":-0.5},{"start":2.0,"end":null,"text":"b"},{"start":0.5,"end":NaN,"text":"c"}]}'
+    docs = spark.createDataFrame([("one", text)], "rec string, json string").select("rec", F.from_json("json", schema.TRANSCRIPT).alias("j")).select("rec", "j.*")
+    return review.route(transcripts.asr_segments(docs)).select("ord", "start_ms", "end_ms", "text", "avg_logprob", "verdict")
+
+
+# Scalar functions
+
+
+@query(f"WITH {fx.SQL_DIRTY} SELECT rec, ord, {clock_sql('end_ms', ',')} AS clock FROM dirty")
+def timecode_srt(spark, d):
+    return fx.seg_dirty(spark, d).select("rec", "ord", timefmt.srt_clock(F.col("end_ms")).alias("clock"))
+
+
+@query(f"WITH {fx.SQL_TURNS}, s AS (SELECT rec, ord, start_ms / 1000.0 + 0.0005 AS t FROM turns) SELECT rec, ord, {clock_sql('round_even(t * 1000, 0)::BIGINT', '.')} AS clock FROM s")
+def timecode_dot(spark, d):
+    t = F.col("start_ms") / F.lit(1000.0) + F.lit(0.0005)
+    return fx.turns(spark, d).select("rec", "ord", timefmt.clock(timefmt.to_ms(t)).alias("clock"))
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, ord, CASE WHEN ord % 3 = 2 THEN '[x] ' || trim(text) ELSE trim(text) END AS text FROM seg")
+def strip_speaker_tag(spark, d):
+    tag = F.when(F.col("ord") % 3 == 0, F.concat(F.lit("[S0"), F.col("ord").cast("string"), F.lit("]　 "))).when(F.col("ord") % 3 == 1, "").otherwise("[x] ")
+    return fx.seg(spark, d).select("rec", "ord", textnorm.strip_speaker_tag(F.concat(tag, "text", F.lit(" "))).alias("text"))
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, ord, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM seg")
+def whitespace_collapse(spark, d):
+    return fx.seg(spark, d).select("rec", "ord", textnorm.collapse(F.regexp_replace("text", " ", "　 \t")).alias("text"))
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, ord, list_filter(regexp_split_to_array(trim(regexp_replace(lower(text), '[\\p{{P}}\\p{{S}}]', '', 'g')), '\\s+'), lambda x: x <> '') AS words FROM seg")
+def word_normalize(spark, d):
+    return fx.seg(spark, d).select("rec", "ord", textnorm.words(F.col("text")).alias("words"))
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, count(*) FILTER (WHERE ord % 5 = 0)::BIGINT AS n_uncertain FROM seg GROUP BY rec")
+def uncertainty_markers(spark, d):
+    marked = F.when(F.col("ord") % 5 == 0, F.concat("text", F.lit(" [inaudible]"))).otherwise(F.concat("text", F.lit(" [sic]")))
+    return fx.seg(spark, d).withColumn("text", marked).groupBy("rec").agg(F.sum(textnorm.uncertain_count(F.col("text"))).alias("n_uncertain"))
+
+
+@query("""SELECT page_id, regexp_replace(url, '^([a-z]+://)([^?#]*).*$', '\\1\\2') AS shown, url SIMILAR TO '[^#?]*\\?.*' AS query_redacted,
+ sha256(url) AS sha256, strlen(url)::INTEGER AS bytes FROM pages""")
+def url_redact(spark, d):
+    u = F.col("url")
+    return fx.read(spark, d, "pages").select("page_id", urls.redacted(u).alias("shown"), urls.query_redacted(u).alias("query_redacted"), urls.fingerprint(u).alias("sha256"), F.octet_length(u).alias("bytes"))
+
+
+@query("SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host, false AS is_private FROM pages")
+def url_host(spark, d):
+    return fx.read(spark, d, "pages").select("page_id", urls.host(F.col("url")).alias("host"), urls.is_private(F.col("url")).alias("is_private"))
+
+
+@query("""SELECT * FROM (VALUES ('http://127.0.0.1/a', true), ('https://u:p@10.1.2.3:80/x?q', true), ('http://[::1]/', true), ('http://172.31.0.9/', true),
+ ('http://172.32.0.9/', false), ('https://example.com:8443/p', false), ('http://localhost:9/', true), ('no url', true)) t(url, is_private)""")
+def private_host_flag(spark, d):
+    rows = [(u,) for u in ("http://127.0.0.1/a", "https://u:p@10.1.2.3:80/x?q", "http://[::1]/", "http://172.31.0.9/", "http://172.32.0.9/", "https://example.com:8443/p", "http://localhost:9/", "no url")]
+    return spark.createDataFrame(rows, "url string").withColumn("is_private", urls.is_private(F.col("url")))
+
+
+# Published measurements (model, mode, seconds of audio, seconds of inference).
+PUBLISHED = [("whisper-turbo", "whisper", 4822.152, 150.18), ("moss", "moss", 4822.152, 887.17), ("moss-chunks", "moss", 4822.152, 809.24)]
+
+
+@query("""SELECT model, infer_s / audio_s AS rtf, audio_s / infer_s AS speed FROM (VALUES ('whisper-turbo', 4822.152::DOUBLE, 150.18::DOUBLE),
+ ('moss', 4822.152, 887.17), ('moss-chunks', 4822.152, 809.24)) t(model, audio_s, infer_s)""")
+def metrics_rtf(spark, d):
+    return models.with_speed(spark.createDataFrame(PUBLISHED, "model string, mode string, audio_s double, infer_s double")).select("model", "rtf", "speed")
+
+
+# Documents
+
+
+@query(f"""WITH {fx.SQL_SEG}, c AS (SELECT rec, ord + 1 AS id, (ord + 1) || chr(10) || {clock_sql('start_ms', ',')} || ' --> ' || {clock_sql('end_ms', ',')} || chr(10) || speaker || '：' || text || chr(10) || chr(10) AS cue FROM seg)
+SELECT rec, string_agg(cue, '' ORDER BY id) AS srt FROM c GROUP BY rec""")
+def srt_with_speakers(spark, d):
+    return render.srt_with_speakers(fx.seg(spark, d).withColumn("id", F.col("ord") + 1))
+
+
+@query(f"""WITH {fx.SQL_SEG}, c AS (SELECT rec, ord + 1 AS id, (ord + 1) || chr(10) || {clock_sql('start_ms', ',')} || ' --> ' || {clock_sql('end_ms', ',')} || chr(10) || text AS cue FROM seg)
+SELECT rec, string_agg(cue, chr(10) || chr(10) ORDER BY id) || chr(10) AS srt FROM c GROUP BY rec""")
+def srt_document(spark, d):
+    return render.srt_plain(fx.seg(spark, d).withColumn("id", F.col("ord") + 1))
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, (ord + 1)::BIGINT AS id, start_ms, end_ms, speaker || '：' || trim(text) AS text FROM seg WHERE trim(text) <> ''")
+def srt_reader_roundtrip(spark, d):
+    rows = fx.seg(spark, d).where(textnorm.strip(F.col("text")) != "").withColumn("id", F.col("ord") + 1).withColumn("text", textnorm.strip(F.col("text")))
+    return transcripts.srt_cues(render.srt_with_speakers(rows).withColumnRenamed("srt", "text"))
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, string_agg(text, chr(10) || chr(10) ORDER BY ord) || chr(10) AS md FROM seg GROUP BY rec")
+def markdown_document(spark, d):
+    return render.raw_markdown(fx.seg(spark, d))
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, '# T' || chr(10) || chr(10) || '> N' || chr(10) || chr(10) || string_agg('**' || speaker || '：** ' || text || chr(10) || chr(10), '' ORDER BY ord) AS md FROM seg GROUP BY rec")
+def speaker_markdown(spark, d):
+    return render.speaker_markdown(fx.seg(spark, d), "T", "N", "ord")
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, '# T' || chr(10) || chr(10) || '> N' || chr(10) || chr(10) || string_agg(text, chr(10) ORDER BY ord) || chr(10) AS md FROM seg GROUP BY rec")
+def content_markdown(spark, d):
+    return render.content_markdown(fx.seg(spark, d), "T", "N", "ord")
+
+
+@query(f"WITH {fx.SQL_SEG} SELECT rec, max(ord) >= 10 AS has_timecode FROM seg GROUP BY rec")
+def no_timecode_gate(spark, d):
+    """Every tenth line gets a clock, so that the gate finds some."""
+    mixed = F.when(F.col("ord") == 10, F.concat("text", F.lit(" 00:01:02,500 "))).otherwise(F.col("text"))
+    return render.raw_markdown(fx.seg(spark, d).withColumn("text", mixed)).select("rec", textnorm.has_timecode(F.col("md")).alias("has_timecode"))
+
+
+REVIEWED_ROW = '{"metadata":{"title":"Talk","source_language":"en"},"speakers":[{"id":"SPK01","display_name":"Host","confidence":"unknown","evidence":"Label."}],"segments":[{"start":65.25,"end":68.5,"speaker":"SPK01","source":"Orig.","calibrated":"Fixed.","zh":"修正。","uncertain":true}],"unresolved":[{"start":65.25,"type":"number","note":"Check."}]}'
+
+
+@query("""SELECT 'one' AS rec, name, md FROM (VALUES
+ ('source', '# Talk' || chr(10) || chr(10) || '**Host：** Orig.' || chr(10)), ('en', '# Talk' || chr(10) || chr(10) || '**Host：** Fixed.' || chr(10)),
+ ('zh', '# Talk' || chr(10) || chr(10) || '**Host：** 修正。' || chr(10)),
+ ('bilingual', '# Talk' || chr(10) || chr(10) || '**Host：** Fixed.' || chr(10) || chr(10) || '修正。' || chr(10)),
+ ('review', '# Talk' || chr(10) || chr(10) || '**Host：** Fixed. [?]' || chr(10) || chr(10) || '## Speakers' || chr(10) || chr(10) || '- Host (unknown): Label.' || chr(10) || chr(10) || '## Unresolved' || chr(10) || chr(10) || '- number: Check.' || chr(10))) t(name, md)""")
+def render_bilingual(spark, d):
+    docs = spark.createDataFrame([("one", REVIEWED_ROW)], "rec string, json string").select("rec", F.from_json("json", schema.REVIEWED).alias("j")).select("rec", "j.*")
+    return render.final_markdown(docs)
+
+
+@query()
+def review_payload_json(spark, d):
+    routed = review.route(fx.seg_dirty(spark, d).withColumn("avg_logprob", F.lit(None).cast("double")).withColumn("no_speech_prob", F.lit(None).cast("double")), CUTOFF)
+    return render.asr_json(review.kept(routed), review.counters(routed), CUTOFF, "cut")
+
+
+@query()
+def diarized_payload_json(spark, d):
+    return render.diarized_json(review.diarized(fx.seg(spark, d), CUTOFF), ["cut"])
+
+
+@query()
+def tagged_payload_json(spark, d):
+    rows = tagged.extract(blobs(spark, d), chunk="1")
+    return render.tagged_json(rows, tagged.guess_list(tagged.guess_counts(rows)), "names are guesses")
+
+
+# Intervals
+
+OWNED = f"""WITH {fx.SQL_GRID}
+SELECT t.rec, t.ord, g.chunk FROM turns t JOIN grid g ON t.rec = g.rec
+ AND t.start_ms + t.end_ms >= 2 * g.core_lo_ms AND (t.start_ms + t.end_ms < 2 * g.core_hi_ms OR (g.chunk = 57 AND t.start_ms + t.end_ms = 2 * g.core_hi_ms))"""
+
+
+@query(OWNED)
+def midpoint_ownership(spark, d):
+    return intervals.owned(fx.turns(spark, d), fx.grid(spark, d)).select("rec", "ord", "chunk")
+
+
+@query(OWNED)
+def overlap_context_merge(spark, d):
+    """Turns decoded by every chunk that hears them, each kept once."""
+    g = fx.grid(spark, d)
+    return intervals.merge_chunks(intervals.decoded(fx.turns(spark, d), g), g).select("rec", "ord", "chunk")
+
+
+EVEN_ODD = f"""WITH {fx.SQL_TURNS}, a AS (SELECT * FROM turns WHERE ord % 2 = 0), b AS (SELECT * FROM turns WHERE ord % 2 = 1),
+p AS (SELECT a.rec, a.ord, b.ord AS r_ord, b.speaker AS r_speaker, (least(a.end_ms, b.end_ms) - greatest(a.start_ms, b.start_ms))::BIGINT AS overlap_ms
+  FROM a JOIN b ON a.rec = b.rec AND a.start_ms < b.end_ms AND b.start_ms < a.end_ms)"""
+
+
+@query(f"{EVEN_ODD} SELECT rec, ord, r_ord, overlap_ms FROM p")
+def bucketed_overlap(spark, d):
+    t = fx.turns(spark, d)
+    return intervals.overlap_join(t.where("ord % 2 = 0"), t.where("ord % 2 = 1")).select("rec", "ord", "r_ord", "overlap_ms")
+
+
+@query(f"""{EVEN_ODD}, s AS (SELECT rec, ord, r_speaker, sum(overlap_ms)::BIGINT AS covered_ms FROM p GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY rec, ord ORDER BY covered_ms DESC, r_speaker) AS n FROM s)
+SELECT a.rec, a.ord, coalesce(r.r_speaker, 'UNKNOWN') AS assigned, coalesce(r.covered_ms, 0)::BIGINT AS covered_ms
+FROM a LEFT JOIN r ON a.rec = r.rec AND a.ord = r.ord AND r.n = 1""")
+def assign_speakers(spark, d):
+    t = fx.turns(spark, d)
+    return intervals.assign_speakers(t.where("ord % 2 = 0"), t.where("ord % 2 = 1")).select("rec", "ord", "assigned", "covered_ms")
+
+
+def _labelled(spark, d) -> DataFrame:
+    """Turns as each chunk of a grid with 120 s of context hears them, with that chunk's own labels."""
+    heard = intervals.decoded(fx.turns(spark, d), fx.grid(spark, d, context_ms=120_000))
+    return chunking.anonymous_labels(heard)
+
+
+HEARD = f"""WITH {fx.SQL_TURNS}, heard AS (
+  SELECT t.*, i::BIGINT AS chunk FROM turns t, range(58) r(i)
+  WHERE t.start_ms + t.end_ms >= 2 * greatest(i * 1500000 - 120000, 0) AND t.start_ms + t.end_ms < 2 * (i * 1500000 + 1620000)
+), first AS (SELECT rec, chunk, speaker, min(start_ms) AS f FROM heard GROUP BY ALL),
+named AS (SELECT rec, chunk, speaker, printf('SPK%02d', dense_rank() OVER (PARTITION BY rec, chunk ORDER BY f, speaker)) AS label FROM first),
+l AS (SELECT heard.*, named.label FROM heard JOIN named USING (rec, chunk, speaker))"""
+
+
+@query(f"{HEARD} SELECT rec, chunk, ord, label FROM l")
+def anonymous_labels(spark, d):
+    return _labelled(spark, d).select("rec", "chunk", "ord", "label")
+
+
+MATCHED = f"""{HEARD}, s AS (
+  SELECT a.rec, a.chunk, b.chunk AS next_chunk, a.label, b.label AS next_label, sum(least(a.end_ms, b.end_ms) - greatest(a.start_ms, b.start_ms))::BIGINT AS shared_ms
+  FROM l a JOIN l b ON a.rec = b.rec AND b.chunk = a.chunk + 1 AND a.start_ms < b.end_ms AND b.start_ms < a.end_ms GROUP BY ALL
+), m AS (
+  SELECT *, row_number() OVER (PARTITION BY rec, chunk, label ORDER BY shared_ms DESC, next_label) AS x,
+    row_number() OVER (PARTITION BY rec, next_chunk, next_label ORDER BY shared_ms DESC, label) AS y FROM s
+), pairs AS (SELECT rec, chunk, next_chunk, label, next_label, shared_ms FROM m WHERE x = 1 AND y = 1 AND shared_ms >= 1000)"""
+
+
+@query(f"{MATCHED} SELECT * FROM pairs")
+def label_reconcile(spark, d):
+    return chunking.matched_labels(_labelled(spark, d))
+
+
+@query(MATCHED.replace("WITH", "WITH RECURSIVE", 1) + """, nodes AS (SELECT DISTINCT rec, chunk, label FROM l),
+chain AS (
+  SELECT n.rec, n.chunk, n.label, n.chunk AS root_chunk, n.label AS root_label FROM nodes n
+  WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.rec = n.rec AND p.next_chunk = n.chunk AND p.next_label = n.label)
+  UNION ALL
+  SELECT p.rec, p.next_chunk, p.next_label, c.root_chunk, c.root_label FROM chain c JOIN pairs p ON p.rec = c.rec AND p.chunk = c.chunk AND p.label = c.label
+)
+SELECT rec, chunk, label, printf('SPK%02d', dense_rank() OVER (PARTITION BY rec ORDER BY root_chunk, root_label)) AS speaker FROM chain""")
+def label_chains(spark, d):
+    return chunking.reconcile(_labelled(spark, d))
+
+
+NEAREST = f"""{EVEN_ODD}, n AS (
+  SELECT a.rec, a.ord, a.start_ms,
+    (SELECT max(b.start_ms) FROM b WHERE b.rec = a.rec AND b.start_ms <= a.start_ms) AS p,
+    (SELECT min(b.start_ms) FROM b WHERE b.rec = a.rec AND b.start_ms >= a.start_ms) AS q FROM a
+), dist AS (SELECT rec, ord, start_ms, least(start_ms - p, q - start_ms)::BIGINT AS distance_ms FROM n)"""
+
+
+def _distances(spark, d):
+    t = fx.turns(spark, d)
+    return intervals.nearest_boundary(t.where("ord % 2 = 0"), t.where("ord % 2 = 1"))
+
+
+@query(f"{NEAREST} SELECT rec, ord, start_ms, distance_ms FROM dist")
+def nearest_boundary(spark, d):
+    return _distances(spark, d)
+
+
+@query(f"""{NEAREST} SELECT rec, count(*)::BIGINT AS n, quantile_cont(distance_ms, 0.5)::DOUBLE AS median_ms,
+ avg((distance_ms <= 500)::INT) AS share_500ms, avg((distance_ms <= 1000)::INT) AS share_1s FROM dist WHERE distance_ms IS NOT NULL GROUP BY rec""")
+def boundary_stats(spark, d):
+    return intervals.boundary_stats(_distances(spark, d))
+
+
+@query(f"""WITH {fx.SQL_TURNS}, x AS (
+  SELECT *, max(end_ms) OVER (PARTITION BY rec, speaker ORDER BY start_ms, end_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until FROM turns
+), y AS (
+  SELECT *, sum(CASE WHEN until IS NULL OR start_ms - until > 200000 THEN 1 ELSE 0 END) OVER (PARTITION BY rec, speaker ORDER BY start_ms, end_ms ROWS UNBOUNDED PRECEDING) AS island FROM x
+), z AS (SELECT rec, speaker, min(start_ms)::BIGINT AS start_ms, max(end_ms)::BIGINT AS end_ms, count(*)::BIGINT AS n_turns FROM y GROUP BY rec, speaker, island)
+SELECT * FROM z WHERE end_ms - start_ms >= 250""")
+def gap_merge(spark, d):
+    return intervals.gap_merge(fx.turns(spark, d), 200_000)
+
+
+@query(f"""WITH RECURSIVE {fx.SQL_TURNS}, u AS (
+  SELECT rec, start_ms, max(end_ms) OVER (PARTITION BY rec ORDER BY start_ms, end_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo FROM turns
+), pts AS (SELECT DISTINCT rec, (lo + start_ms) // 2 AS p FROM u WHERE start_ms - lo >= 60000),
+cuts AS (
+  SELECT DISTINCT rec, 0::BIGINT AS n, 0::BIGINT AS lo, 0::BIGINT AS hi, false AS fallback FROM turns
+  UNION ALL
+  SELECT c.rec, c.n + 1, c.hi,
+    CASE WHEN 86400000 - c.hi <= 1800000 THEN 86400000 ELSE coalesce(
+      (SELECT arg_min(p, abs(p - (c.hi + 1500000)) * 100000000 + p) FROM pts WHERE pts.rec = c.rec AND p BETWEEN c.hi + 1200000 AND c.hi + 1800000), c.hi + 1800000) END::BIGINT,
+    86400000 - c.hi > 1800000 AND NOT EXISTS (SELECT 1 FROM pts WHERE pts.rec = c.rec AND p BETWEEN c.hi + 1200000 AND c.hi + 1800000)
+  FROM cuts c WHERE c.hi < 86400000
+)
+SELECT rec, n AS chunk, greatest(lo - 8000, 0)::BIGINT AS dec_lo_ms, least(hi + 8000, 86400000)::BIGINT AS dec_hi_ms, lo AS core_lo_ms, hi AS core_hi_ms, fallback FROM cuts WHERE n > 0""")
+def chunk_plan(spark, d):
+    return chunking.plan(fx.recordings(spark, d), chunking.silences(fx.turns(spark, d), 60_000))
+
+
+# Measurements
+
+
+@query(f"""WITH {fx.SQL_SEG}, i AS (SELECT *, sum(CASE WHEN speaker IS NOT DISTINCT FROM prev AND prev_ord IS NOT NULL THEN 0 ELSE 1 END) OVER (PARTITION BY rec ORDER BY ord ROWS UNBOUNDED PRECEDING)::BIGINT AS turn
+  FROM (SELECT *, lag(speaker) OVER (PARTITION BY rec ORDER BY ord) AS prev, lag(ord) OVER (PARTITION BY rec ORDER BY ord) AS prev_ord FROM seg))
+SELECT rec, turn, speaker, min(ord)::BIGINT AS first_ord, count(*)::BIGINT AS n_segments, min(start_ms)::BIGINT AS start_ms, max(end_ms)::BIGINT AS end_ms FROM i GROUP BY rec, turn, speaker""")
+def speaker_turns(spark, d):
+    return quality.speaker_turns(fx.seg(spark, d))
+
+
+@query(f"""WITH {fx.SQL_TURNS} SELECT rec, speaker, sum(end_ms - start_ms)::BIGINT AS voiced_ms,
+ sum(end_ms - start_ms)::DOUBLE / sum(sum(end_ms - start_ms)) OVER (PARTITION BY rec)::DOUBLE AS share FROM turns GROUP BY rec, speaker""")
+def speaker_share(spark, d):
+    return quality.speaker_share(fx.turns(spark, d))
+
+
+@query(f"""WITH {fx.SQL_SEG}, s AS (SELECT rec, speaker, sum(end_ms - start_ms)::BIGINT AS voiced_ms, sum(length(text))::BIGINT AS chars FROM seg GROUP BY rec, speaker),
+t AS (SELECT *, voiced_ms::DOUBLE / nullif(sum(voiced_ms) OVER (PARTITION BY rec), 0)::DOUBLE AS share, chars::DOUBLE / nullif(sum(chars) OVER (PARTITION BY rec), 0)::DOUBLE AS char_share FROM s)
+SELECT * FROM t WHERE share < 0.1""")
+def fragmented_labels(spark, d):
+    return quality.fragmented(quality.speaker_share(fx.seg(spark, d), "text"), 0.1)
+
+
+@query(f"WITH {fx.SQL_TURNS} SELECT rec, 86400000::BIGINT AS duration_ms, max(end_ms)::BIGINT AS last_ms, max(end_ms) / 86400000.0::DOUBLE AS coverage FROM turns GROUP BY rec")
+def coverage(spark, d):
+    return quality.coverage(fx.turns(spark, d), fx.recordings(spark, d))
+
+
+@query(f"""WITH {fx.SQL_DIRTY}, x AS (SELECT *, lag(start_ms) OVER w AS ps, lag(end_ms) OVER w AS pe FROM dirty WINDOW w AS (PARTITION BY rec ORDER BY ord))
+SELECT rec, count(*)::BIGINT AS n, count(*) FILTER (WHERE end_ms < start_ms)::BIGINT AS n_negative, count(*) FILTER (WHERE end_ms = start_ms)::BIGINT AS n_zero,
+ count(*) FILTER (WHERE start_ms < ps)::BIGINT AS n_backward, count(*) FILTER (WHERE start_ms < pe)::BIGINT AS n_overlapping, count(*) FILTER (WHERE end_ms > {CUTOFF})::BIGINT AS n_beyond,
+ bool_and(end_ms >= start_ms) AS non_negative, bool_and(end_ms > start_ms) AS positive, count(*) FILTER (WHERE trim(text) = '')::BIGINT AS n_empty FROM x GROUP BY rec""")
+def integrity_report(spark, d):
+    return quality.integrity(fx.seg_dirty(spark, d), F.lit(CUTOFF), "text")
+
+
+@query(f"""WITH {fx.SQL_TURNS}, x AS (SELECT *, lag(start_ms) OVER w AS ps, lag(end_ms) OVER w AS pe FROM turns WINDOW w AS (PARTITION BY rec ORDER BY ord))
+SELECT rec, count(*)::BIGINT AS n, count(*) FILTER (WHERE end_ms < start_ms)::BIGINT AS n_negative, count(*) FILTER (WHERE end_ms = start_ms)::BIGINT AS n_zero,
+ count(*) FILTER (WHERE start_ms < ps)::BIGINT AS n_backward, count(*) FILTER (WHERE start_ms < pe)::BIGINT AS n_overlapping, count(*) FILTER (WHERE end_ms > 86400000)::BIGINT AS n_beyond,
+ bool_and(end_ms >= start_ms) AS non_negative, bool_and(end_ms > start_ms) AS positive FROM x GROUP BY rec""")
+def integrity_turns(spark, d):
+    return quality.integrity(fx.turns(spark, d), F.lit(fx.DAY_MS))
+
+
+@query(f"WITH {fx.SQL_DIRTY} SELECT rec, count(*) > 0 AS non_empty, bool_and(end_ms > start_ms) AS all_valid FROM dirty GROUP BY rec")
+def validity_gate(spark, d):
+    return quality.gate(fx.seg_dirty(spark, d))
+
+
+@query(f"WITH {fx.SQL_TURNS} SELECT rec, quantile_cont(end_ms - start_ms, 0.5)::DOUBLE AS median_ms, min(end_ms - start_ms)::BIGINT AS min_ms, max(end_ms - start_ms)::BIGINT AS max_ms FROM turns GROUP BY rec")
+def duration_median(spark, d):
+    x = F.col("end_ms") - F.col("start_ms")
+    return fx.turns(spark, d).groupBy("rec").agg(F.percentile(x, F.lit(0.5)).alias("median_ms"), F.min(x).alias("min_ms"), F.max(x).alias("max_ms"))
+
+
+LOOPS = f"""WITH {fx.SQL_LINES}, x AS (SELECT *, lag(text) OVER (PARTITION BY rec ORDER BY ord) AS prev FROM doclines),
+i AS (SELECT *, sum(CASE WHEN text = prev THEN 0 ELSE 1 END) OVER (PARTITION BY rec ORDER BY ord ROWS UNBOUNDED PRECEDING) AS island FROM x),
+runs AS (SELECT rec, min(ord)::BIGINT AS first_ord, count(*)::BIGINT AS length, any_value(text) AS text FROM i GROUP BY rec, island HAVING count(*) >= 3)"""
+
+
+@query(f"{LOOPS} SELECT rec, first_ord, length, text FROM runs")
+def loop_runs(spark, d):
+    return quality.loop_runs(fx.doclines(spark, d))
+
+
+@query(f"{LOOPS} SELECT r.rec, r.first_ord, r.length FROM runs r JOIN (SELECT rec, max(ord) AS m FROM doclines GROUP BY rec) t ON r.rec = t.rec AND r.first_ord + r.length - 1 = t.m")
+def tail_candidates(spark, d):
+    rows = fx.doclines(spark, d)
+    return quality.tail_candidates(quality.loop_runs(rows), rows)
+
+
+@query(f"WITH {fx.SQL_LINES} SELECT rec, text, count(*)::BIGINT AS n, min(ord)::BIGINT AS first_ord FROM doclines GROUP BY rec, text HAVING count(*) >= 3")
+def repeated_lines(spark, d):
+    return quality.repeated_lines(fx.doclines(spark, d))
+
+
+@query(f"WITH {fx.SQL_SEG}, v AS (SELECT rec, ord, text, end_ms - start_ms + ord % 7 * 100 AS d FROM seg) SELECT rec, ord, length(text) * 1000.0::DOUBLE / d AS chars_per_s FROM v WHERE d > 0")
+def reading_speed(spark, d):
+    uneven = fx.seg(spark, d).withColumn("end_ms", F.col("end_ms") + F.col("ord") % 7 * 100)
+    return quality.reading_speed(uneven).select("rec", "ord", "chars_per_s")
+
+
+# Disagreement of two runs: neighbouring ASCII documents stand for two models' texts of one window.
+
+
+def _pairs(spark, d, size: int) -> DataFrame:
+    docs = fx.read(spark, d, "documents").where(F.octet_length("text") == F.char_length("text"))
+    a = docs.where("doc_id % 2 = 0").select(F.lit("r").alias("rec"), (F.col("doc_id") / 2).cast("bigint").alias("window"), F.substring("text", 1, size).alias("text"))
+    b = docs.where("doc_id % 2 = 1").select(F.lit("r").alias("rec"), F.floor(F.col("doc_id") / 2).cast("bigint").alias("window"), F.substring("text", 1, size).alias("text"))
+    return disagree.pair(a, b)
+
+
+PAIRS = """WITH t AS (SELECT doc_id, text FROM documents WHERE strlen(text) = length(text)),
+p AS (SELECT a.doc_id // 2 AS "window", a.text[1:{n}] AS text_a, b.text[1:{n}] AS text_b FROM t a JOIN t b ON a.doc_id % 2 = 0 AND b.doc_id = a.doc_id + 1)"""
+
+
+@query(PAIRS.format(n=200) + """ SELECT "window", length(text_a)::BIGINT AS n_chars, levenshtein(text_a, text_b)::BIGINT AS edits,
+ levenshtein(text_a, text_b)::DOUBLE / nullif(length(text_a), 0) AS disagreement FROM p""")
+def char_disagreement(spark, d):
+    return disagree.by_characters(_pairs(spark, d, 200)).select("window", "n_chars", "edits", "disagreement")
+
+
+WORDS = """regexp_split_to_array(trim(regexp_replace(regexp_replace(lower(x), '[\\p{P}\\p{S}]', '', 'g'), '\\s+', ' ', 'g')), ' ')"""
+WORD_SQL = PAIRS.format(n=240) + f""", w AS (SELECT "window", list_filter({WORDS.replace('(x)', '(text_a)')}, lambda x: x <> '') AS a, list_filter({WORDS.replace('(x)', '(text_b)')}, lambda x: x <> '') AS b FROM p),
+v AS (SELECT *, list_sort(list_distinct(list_concat(a, b))) AS k FROM w WHERE len(list_distinct(list_concat(a, b))) <= 90),
+e AS (SELECT "window", len(a)::BIGINT AS n_words, levenshtein(array_to_string(list_transform(a, lambda x: chr((33 + list_position(k, x))::INTEGER)), ''), array_to_string(list_transform(b, lambda x: chr((33 + list_position(k, x))::INTEGER)), ''))::BIGINT AS edits FROM v)"""
+
+
+def _word_rows(spark, d) -> DataFrame:
+    """Windows whose two texts have at most 90 distinct words: the SQL side has as many printable ASCII letters."""
+    a, b = textnorm.words(F.col("text_a")), textnorm.words(F.col("text_b"))
+    return disagree.by_words(_pairs(spark, d, 240).where(F.size(F.array_distinct(F.concat(a, b))) <= 90))
+
+
+@query(WORD_SQL + """ SELECT "window", n_words, edits, CASE WHEN n_words > 0 THEN edits::DOUBLE / n_words END AS disagreement FROM e""")
+def word_disagreement(spark, d):
+    return _word_rows(spark, d).select("window", "n_words", "edits", "disagreement")
+
+
+@query(WORD_SQL + """, r AS (SELECT 'r' AS rec, edits, n_words FROM e) SELECT rec, sum(edits)::BIGINT AS edits, sum(n_words)::BIGINT AS n_words, sum(edits)::DOUBLE / sum(n_words) AS disagreement FROM r GROUP BY ROLLUP (rec)""")
+def disagreement_total(spark, d):
+    return disagree.total(_word_rows(spark, d))
+
+
+@query("""SELECT conv_id AS rec, turn, length(regexp_replace(regexp_replace(lower(text), '[\\p{P}\\p{S}]', '', 'g'), '\\s+', '', 'g'))::BIGINT AS n FROM conversations""")
+def char_normalize(spark, d):
+    x = textnorm.characters(F.col("text"))
+    return fx.read(spark, d, "conversations").select(F.col("conv_id").alias("rec"), "turn", F.char_length(x).cast("bigint").alias("n"))
+
+
