@@ -4,11 +4,12 @@ The lexicon holds words and stems (heads of 4 to 8 letters) that labelled toxic
 lower end of Wilson's interval, so that rare words of a few copied texts stay out. It is kept as a trie. A word is
 looked up by walking the trie and the word's Levenshtein automaton together: a state is the row of edit distances
 so far, branches whose least distance is above the limit are cut, and a stem may end anywhere in the word. The
-limit is 0 edits for entries under 5 letters, 1 up to 8, and 2 beyond; hits with edits count on their own.
+limit is 0 edits for words under 5 letters, 1 up to 8, and 2 beyond, and for stems one less; the first letter is
+never edited. Hits with edits count on their own.
 
 Around each hit, `window` words to either side say whether it is quoted or spoken about (quotation marks, words like
-"said" or "word") or part of abuse (other hits, a second person). Those sums and the share of hits are the features
-of a logistic regression.
+"said" or "word") or part of abuse (other hits, a second person). Those shares, the sums of the
+weights of the entries hit, and their density are the features of a logistic regression.
 
 Labels are read from a sample bounded by `per_label` rows of each label, drawn by hash from the rows that the caller
 has cut off from held-out ones; scoring reads whole texts and nothing else.
@@ -34,6 +35,8 @@ PER_LABEL = 3000
 MOST_ENTRIES = 2000
 WINDOW = 6
 HEADS = range(4, 9)
+#: Log-odds from which on an entry is also met with edits.
+SURE = 2.0
 
 # Marks and words that quote, and words that address someone, in the languages at hand.
 QUOTES = "\"'“”„«»‘’‹›"
@@ -48,82 +51,116 @@ def limit(length: int) -> int:
 
 
 class Lexicon:
-    """A trie of words and of stems (entries that end in *)."""
+    """A trie of words and of stems (entries that end in *). Entries of less weight than SURE are met exactly or not at all."""
 
-    def __init__(self, entries: list[str]):
+    def __init__(self, entries: list[str], weights: np.ndarray | None = None):
         self.entries = list(entries)
         self.root: dict = {}
-        for e in self.entries:
-            node = self.root
+        for at, e in enumerate(self.entries):
+            node, sure = self.root, weights is None or weights[at] >= SURE
             for c in e.rstrip("*"):
                 node = node.setdefault(c, {})
-            node["*" if e.endswith("*") else "$"] = limit(len(e.rstrip("*")))
-
-    def find(self, word: str) -> int:
-        """Edits to the nearest entry within its limit, or -1."""
-        best = 99
-        todo = [(self.root, list(range(len(word) + 1)))]
+            if e.endswith("*"):
+                node["*"] = (max(0, limit(len(e) - 1) - 1) * sure, at)
+            else:
+                node["$"] = (limit(len(e)) * sure, at)
+        for node in self.root.values():
+            self._bound(node)
+
+    def _bound(self, node: dict) -> int:
+        """Keeps in every node, under "", the most edits that any entry below it allows."""
+        own = [node[c][0] for c in "$*" if c in node]
+        node[""] = max([*own, *(self._bound(child) for c, child in node.items() if c not in "$*")])
+        return node[""]
+
+    def _exact(self, node: dict, word: str, at: int = 1) -> tuple[int, int] | None:
+        """The entry in this branch that word, from its letter `at` on, holds without edits."""
+        while True:
+            if "*" in node:
+                return 0, node["*"][1]
+            if at == len(word):
+                return (0, node["$"][1]) if "$" in node else None
+            if word[at] not in node:
+                return None
+            node, at = node[word[at]], at + 1
+
+    @staticmethod
+    def _depth(row: list[int]) -> int:
+        """How much of the word the branch has taken without edits, or -1."""
+        return row.index(0) if 0 in row else -1
+
+    def find(self, word: str) -> tuple[int, int] | None:
+        """Edits to the nearest entry within its limit, and its place; the first letter must be the entry's own."""
+        if not word or (node := self.root.get(word[0])) is None:
+            return None
+        if not node[""]:
+            return self._exact(node, word)
+        best, n = (3, -1), len(word)
+        todo = [(node, list(range(1, -1, -1)) + list(range(1, n)))]
         while todo:
             node, row = todo.pop()
-            if "$" in node and row[-1] <= node["$"]:
-                best = min(best, row[-1])
-            if "*" in node:
-                least = min(row)
-                # a stem must not lose its first letter to an edit
-                if least <= node["*"]:
-                    best = min(best, least)
-            if best == 0:
-                return 0
+            if "$" in node and row[-1] <= node["$"][0]:
+                best = min(best, (row[-1], node["$"][1]))
+            if "*" in node and (least := min(row)) <= node["*"][0]:
+                best = min(best, (least, node["*"][1]))
+            if best[0] == 0:
+                return best
             for c, child in node.items():
-                if c in "$*":
+                if c in "$*":  # and ""
+                    continue
+                if not child[""]:
+                    depth = self._depth(row)
+                    if depth >= 0 and word[depth : depth + 1] == c and (found := self._exact(child, word, depth + 1)):
+                        best = min(best, found)
                     continue
-                new = [row[0] + 1]
-                for j, w in enumerate(word, 1):
-                    new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (w != c)))
-                if min(new) <= 2 and min(new) < best:
+                most = min(child[""], best[0] - 1)
+                left = row[0] + 1
+                new, least = [left], left
+                for j in range(n):
+                    left = left + 1
+                    if row[j + 1] < left - 1:
+                        left = row[j + 1] + 1
+                    if (x := row[j] + (word[j] != c)) < left:
+                        left = x
+                    new.append(left)
+                    if left < least:
+                        least = left
+                if least <= most:
                     todo.append((child, new))
-        return best if best < 99 else -1
+        return best if best[0] < 3 else None
 
 
 class Hits(dict):
-    """word (UTF-8 bytes) -> 0 none, 1 exact, 2 with edits; starts anew when `most` words are held."""
+    """word (UTF-8 bytes) -> 0 for none, else twice the place of the entry plus 2, and 1 more if with edits; starts anew when `most` words are held."""
 
     def __init__(self, lexicon: Lexicon, most: int = 300_000):
         self.lexicon, self.most = lexicon, most
-        # words with no two-letter part of an entry near its place cannot be within the limits
-        self.parts: set[str] = set()
-        for e in lexicon.entries:
-            e = e.rstrip("*")
-            n = limit(len(e)) + 1
-            cuts = [len(e) * i // n for i in range(n + 1)]
-            self.parts |= {e[a:b] for a, b in zip(cuts, cuts[1:], strict=False)}
-        self.pattern = re.compile("|".join(sorted(map(re.escape, self.parts), key=lambda x: (-len(x), x)))) if self.parts else None
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
             self.clear()
-        out = 0
-        if self.pattern is not None:
-            text = word.decode("utf-8", "replace").lower()
-            if self.pattern.search(text):
-                found = [self.lexicon.find(w[:64]) for w in _LETTERS.findall(text)] or [-1]
-                plain = _LETTERS.findall(text.translate(_LOOKALIKES))
-                found += [self.lexicon.find(w[:64]) for w in plain] if plain != _LETTERS.findall(text) else []
-                near = [f for f in found if f >= 0]
-                out = 0 if not near else 1 if min(near) == 0 else 2
+        text = word.decode("utf-8", "replace").lower()
+        found = [self.lexicon.find(w[:64]) for w in _LETTERS.findall(text)]
+        if _MIXED.search(text):
+            found += [self.lexicon.find(w[:64]) for w in _LETTERS.findall(text.translate(_LOOKALIKES))]
+        near = [f for f in found if f]
+        out = 2 * min(near)[1] + 2 + (min(near)[0] > 0) if near else 0
         self[word] = out
         return out
 
 
+_MIXED = re.compile(r"[0-9@$][^\W\d_]|[^\W\d_][0-9@$]")
 _LOOKALIKES = str.maketrans("013457@$", "oieastas")
-FEATURES = ("exact", "edited", "quoted", "addressed", "clustered", "share")
+FEATURES = ("exact", "edited", "quoted", "addressed", "clustered", "share", "length")
 
 
-def features(words: list[bytes], hits: Hits) -> np.ndarray:
+def features(words: list[bytes], hits: Hits, weights: np.ndarray) -> np.ndarray:
+    """exact and edited: the sums of the weights of the distinct entries hit, up to 12."""
     out = np.zeros(len(FEATURES))
     if not words:
         return out
-    found = np.fromiter(map(hits.__getitem__, words), np.int8, len(words))
+    out[-1] = math.log1p(len(words)) / 10
+    found = np.fromiter(map(hits.__getitem__, words), np.int32, len(words))
     places = np.flatnonzero(found)
     if not len(places):
         return out
@@ -136,13 +173,18 @@ def features(words: list[bytes], hits: Hits) -> np.ndarray:
         quoted += bool(marks or any(w.strip(".,;:!?") in QUOTING for w in before[-3:]))
         addressed += any(w.strip(".,;:!?") in SECOND for w in near)
         clustered += int((found[max(0, p - WINDOW) : p + WINDOW + 1] > 0).sum() > 1)
-    exact, edited = int((found == 1).sum()), int((found == 2).sum())
-    return np.asarray([math.log1p(exact), math.log1p(edited), quoted / len(places), addressed / len(places), clustered / len(places), len(places) / len(words)])
+    kinds = np.unique(found[places])
+    exact, edited = (min(12.0, float(weights[kinds[kinds % 2 == odd] // 2 - 1].sum())) for odd in (0, 1))
+    strong = exact + edited
+    n = len(places) / min(1.0, strong)
+    out[:-1] = exact, edited, quoted / n, addressed / n, clustered / n, 10 * float(weights[found[places] // 2 - 1].sum()) / len(words)
+    return out
 
 
 @dataclass
 class Model:
     entries: list[str] = field(default_factory=list)
+    of_entries: np.ndarray = field(default_factory=lambda: np.zeros(0))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(len(FEATURES)))
     bias: float = -30.0
 
@@ -159,10 +201,12 @@ def _low(n: int, of: int) -> float:
     return (p + z * z / (2 * of) - z * math.sqrt(p * (1 - p) / of + z * z / (4 * of * of))) / (1 + z * z / of)
 
 
-def choose(counts: list[tuple[str, int, int]], toxic: int, least_share: float = 0.03) -> list[str]:
-    """counts: (word or stem with *, toxic texts, other texts). Stems that say the same as a longer one go."""
+def choose(counts: list[tuple[str, int, int]], toxic: int, least_share: float = 0.01) -> list[tuple[str, float]]:
+    """counts: (word or stem with *, toxic texts, other texts). Each entry has the log-odds of its Wilson bound as its
+    weight. Stems that say the same as a longer one go."""
     need = max(4, least_share * toxic)
-    good = {e: n for e, n, m in counts if n >= need and _low(n, n + m) >= 0.5}
+    odds = {e: math.log(p / (1 - p)) for e, n, m in counts if n >= need and (p := _low(n, n + m)) >= 0.55}
+    good = {e: n for e, n, _ in counts if e in odds}
     stems = sorted((e[:-1] for e in good if e.endswith("*")), key=len)
     kept: list[str] = []
     for s in stems:
@@ -174,7 +218,8 @@ def choose(counts: list[tuple[str, int, int]], toxic: int, least_share: float =
     words = [e for e in good if not e.endswith("*") and not any(e.startswith(k) for k in kept)]
     # a stem that is a whole word by itself stays a word, so that words merely beginning like it are left alone
     out = [k if good.get(k, 0) >= 0.9 * good[f"{k}*"] else f"{k}*" for k in kept] + words
-    return sorted(out, key=lambda e: (-good.get(e, 0), e))[:MOST_ENTRIES]
+    one = {e: odds.get(e, odds.get(f"{e}*", 0.0)) for e in out}
+    return sorted(((e, min(4.0, w)) for e, w in one.items()), key=lambda x: (-good.get(x[0], 0), x[0]))[:MOST_ENTRIES]
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
@@ -200,7 +245,8 @@ def train(rows: DataFrame, text: str = "text", label: str = "toxic", per_label:
     if not size.get(1):
         return Model()
     share = F.when(F.col("y") == 1, min(1.0, per_label / size[1])).otherwise(min(1.0, per_label / max(size.get(0, 0), 1)))
-    drawn = table(rows.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < share * 1_000_000), "labelled")
+    # copies count once: a word of one copied text says little
+    drawn = table(rows.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < share * 1_000_000).groupBy("y", "t").agg(F.count(F.lit(1)).alias("n")), "labelled")
 
     def count(batches):
         import pyarrow as pa
@@ -218,21 +264,22 @@ def train(rows: DataFrame, text: str = "text", label: str = "toxic", per_label:
 
     toxic = drawn.where("y = 1").count()
     counts = drawn.coalesce(1 + len(size)).mapInArrow(count, "e string, n long, m long").groupBy("e").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-    good = counts.where((F.col("n") >= max(4, 0.03 * toxic)) & (F.col("m") <= F.col("n"))).orderBy(F.desc("n"), "e").limit(20 * MOST_ENTRIES).collect()
-    entries = choose([tuple(r) for r in good], toxic)
-    lexicon = Lexicon(entries)
+    good = counts.where((F.col("n") >= max(4, 0.01 * toxic)) & (F.col("m") <= F.col("n"))).orderBy(F.desc("n"), "e").limit(20 * MOST_ENTRIES).collect()
+    chosen = choose([tuple(r) for r in good], toxic)
+    entries, of_entries = [e for e, _ in chosen], np.asarray([w for _, w in chosen])
+    lexicon = Lexicon(entries, of_entries)
 
     def measure(batches):
         import pyarrow as pa
 
         hits = Hits(lexicon)
         for b in batches:
-            x = [features(t.as_py().split(), hits).tolist() for t in b.column(1)]
+            x = [features(t.as_py().split(), hits, of_entries).tolist() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
     got = drawn.mapInArrow(measure, "y int, x array<double>").orderBy("y", "x").collect()
     w, bias = fit(np.asarray([r["x"] for r in got]), np.asarray([float(r["y"]) for r in got]))
-    return Model(entries, w, bias)
+    return Model(entries, of_entries, w, bias)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -241,9 +288,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hits = Hits(Lexicon(model.entries))
+        hits = Hits(Lexicon(model.entries, model.of_entries))
         for texts in batches:
-            yield pd.Series([model.score(features(t.split(), hits)) for t in texts], dtype="float64")
+            yield pd.Series([model.score(features(t.split(), hits, model.of_entries)) for t in texts], dtype="float64")
 
     return docs.withColumn("score", judge(text_bytes(text))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
