@@ -117,9 +117,12 @@ def tagged_json(rows: DataFrame, counts: DataFrame, warning: str) -> DataFrame:
 
 
 def write_documents(texts: DataFrame, column: str, path: str, overwrite: bool = False) -> None:
-    """Texts to files under path, one folder per recording; fails if path is there unless overwrite is asked for."""
-    out = texts.select(F.col("rec").cast("string").alias("rec"), F.col(column).alias("value"))
-    out.write.mode("overwrite" if overwrite else "errorifexists").partitionBy("rec").option("lineSep", "").text(path)
+    """Texts to files under path, one folder per recording; fails if path is there unless overwrite is asked for.
+
+    The writer ends every text with a line end, so a text's own last one is left to it.
+    """
+    out = texts.select(F.col("rec").cast("string").alias("rec"), F.regexp_replace(column, r"\n\z", "").alias("value"))
+    out.write.mode("overwrite" if overwrite else "errorifexists").partitionBy("rec").text(path)
 
 
 def write_chunks(rows: DataFrame, path: str, overwrite: bool = False) -> None:
