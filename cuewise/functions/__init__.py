@@ -1,0 +1 @@
+"""Column expressions: clocks, text, URLs, edit distances."""

@@ -1,0 +1 @@
+"""Operators over segments, turns and chunks; every one is keyed by recording."""

@@ -1,0 +1 @@
+"""Rendered documents and the query catalogue."""

@@ -1,0 +1 @@
+"""Scans of transcript documents, tables and media, and the download step."""

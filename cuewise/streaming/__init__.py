@@ -1,0 +1 @@
+"""No streaming operators: the capability set has none. Windows, gaps and cutoffs are batch operators in cuewise.operators."""
