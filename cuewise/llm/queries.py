@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import dac, langid, mixing, neardup, packing, rules, secrets, toxicity, urls
+from . import audio, dac, langid, mixing, neardup, packing, rules, secrets, toxicity, urls
 from .common import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,10 @@ def op7_language_id(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op8_chroma_fingerprints(spark, sf_dir):
+    return audio.conversations(read(spark, sf_dir, "conversations"))
+
+
 def op9_addressable_codes(spark, sf_dir):
     return dac.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op5_near_dedup": op5_near_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_language_id": op7_language_id,
+    "op8_chroma_fingerprints": op8_chroma_fingerprints,
     "op9_addressable_codes": op9_addressable_codes,
     "op10_toxicity": op10_toxicity,
     "pipeline": pipeline,
