@@ -84,7 +84,7 @@ def test_misspelled_and_quoted_terms():
 
 
 def test_toxicity_of_odd_rows(spark, docs_of):
-    rows = ODD + [(10 + i, "quiet words here " + ("you idiot" if i % 2 else "and there")) for i in range(80)]
+    rows = ODD + [(10 + i, f"quiet words here {i} " + ("you idiot" if i % 2 else "and there")) for i in range(80)]
     labels = spark.createDataFrame([(10 + i, i % 2) for i in range(80)] + [(1, 0), (2, None)], "doc_id long, toxic int").withColumn("quality", F.lit(1))
     got = {r["doc_id"]: r for r in toxicity.rate(docs_of(rows), labels).collect()}
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got.values())
