@@ -92,3 +92,21 @@ def reading_speed(segments: DataFrame) -> DataFrame:
 def gate(segments: DataFrame) -> DataFrame:
     """Per recording: are there segments, and is every one longer than nothing?"""
     return segments.groupBy("rec").agg((F.count(F.lit(1)) > 0).alias("non_empty"), F.every(F.col("end_ms") > F.col("start_ms")).alias("all_valid"))
+
+
+def distinct_speakers(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("rec").agg(F.countDistinct("speaker").alias("num_speakers"))
+
+
+def run_totals(metrics: DataFrame, by: str = "model") -> DataFrame:
+    """Of runs in parts: seconds add up, the peak of memory is the largest. metrics: by, audio_s, infer_s, peak_gb."""
+    return metrics.groupBy(by).agg(F.sum("audio_s").alias("audio_s"), F.sum("infer_s").alias("infer_s"), F.max("peak_gb").alias("peak_gb"), F.count(F.lit(1)).alias("n_parts"))
+
+
+def aligned(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Per recording: segments that both sides have with equal times, and those of either side alone."""
+    on = ["rec", "start_ms", "end_ms"]
+    j = first.select(*on, F.lit(1).alias("_a")).join(second.select(*on, F.lit(1).alias("_b")), on, "full")
+    return j.groupBy("rec").agg(
+        F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("n_both"), F.count_if(F.col("_b").isNull()).alias("n_first_only"), F.count_if(F.col("_a").isNull()).alias("n_second_only")
+    )

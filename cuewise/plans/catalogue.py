@@ -413,9 +413,64 @@ def chunk_plan(spark, d):
     return chunking.plan(fx.recordings(spark, d), chunking.silences(fx.turns(spark, d), 60_000))
 
 
+@query(ORACLE_SQL["chunk_plan"].replace("n AS chunk", "n::INTEGER AS chunk"))
+def manifest_roundtrip(spark, d):
+    """The plan written as manifests and scanned again."""
+    docs = render.manifest_json(chunk_plan(spark, d)).select("rec", F.from_json("json", schema.MANIFEST).alias("j")).select("rec", "j.*")
+    return transcripts.chunks(docs)
+
+
+@query()
+def speaker_labelled_json(spark, d):
+    t = fx.turns(spark, d).withColumn("text", F.concat(F.lit("event "), F.col("ord").cast("string")))
+    return render.labelled_json(intervals.assign_speakers(t.where("ord % 2 = 0"), t.where("ord % 2 = 1").drop("text")))
+
+
 # Measurements
 
 
+@query(f"WITH {fx.SQL_TURNS} SELECT rec, count(DISTINCT speaker)::BIGINT AS num_speakers FROM turns GROUP BY rec")
+def distinct_speakers(spark, d):
+    return quality.distinct_speakers(fx.turns(spark, d))
+
+
+@query("""SELECT model, sum(audio_s) AS audio_s, sum(infer_s) AS infer_s, max(peak_gb) AS peak_gb, count(*)::BIGINT AS n_parts FROM (VALUES
+ ('a', 10.0::DOUBLE, 2.0::DOUBLE, 7.5::DOUBLE), ('a', 20.0, 5.0, 7.0), ('b', 30.0, 1.0, 3.0)) t(model, audio_s, infer_s, peak_gb) GROUP BY model""")
+def run_totals(spark, d):
+    rows = [("a", 10.0, 2.0, 7.5), ("a", 20.0, 5.0, 7.0), ("b", 30.0, 1.0, 3.0)]
+    return quality.run_totals(spark.createDataFrame(rows, "model string, audio_s double, infer_s double, peak_gb double"))
+
+
+@query(f"""WITH {fx.SQL_DIRTY}, j AS (SELECT coalesce(a.rec, b.rec) AS rec, a.rec AS x, b.rec AS y FROM seg a FULL JOIN dirty b ON a.rec = b.rec AND a.start_ms = b.start_ms AND a.end_ms = b.end_ms)
+SELECT rec, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL)::BIGINT AS n_both, count(*) FILTER (WHERE y IS NULL)::BIGINT AS n_first_only, count(*) FILTER (WHERE x IS NULL)::BIGINT AS n_second_only FROM j GROUP BY rec""")
+def aligned_segments(spark, d):
+    return quality.aligned(fx.seg(spark, d), fx.seg_dirty(spark, d))
+
+
+@query(f"WITH {fx.SQL_DIRTY}, p AS (SELECT 'first' AS model, rec FROM seg UNION ALL SELECT 'second', rec FROM dirty WHERE trim(text) <> '') SELECT model, rec, count(*)::BIGINT AS n FROM p GROUP BY model, rec")
+def pooled_models(spark, d):
+    both = disagree.pool(first=fx.seg(spark, d), second=fx.seg_dirty(spark, d).where(textnorm.strip(F.col("text")) != "").drop("speaker"))
+    return both.groupBy("model", "rec").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT * FROM (VALUES (0::BIGINT, '{"start":1.5,"text":"a"}'), (1, '{"end":2.0,"no_speech_prob":0.5}'), (2, '{}')) t(ord, json)""")
+def compact_segments(spark, d):
+    rows = [("r", 0, 1.5, None, "a", None), ("r", 1, None, 2.0, None, 0.5), ("r", 2, None, None, None, None)]
+    df = spark.createDataFrame(rows, "rec string, ord bigint, start double, end double, text string, no_speech_prob double")
+    return render.compact_json(df).select("ord", "json")
+
+
+@query("SELECT page_id, strlen(html)::INTEGER AS bytes, sha256(html) AS sha256 FROM pages WHERE strlen(html) <= 3000")
+def size_limit(spark, d):
+    rows = fx.read(spark, d, "pages").select("page_id", F.octet_length("html").alias("bytes"), urls.fingerprint(F.col("html")).alias("sha256"))
+    return rows.where(F.col("bytes") <= 3000)
+
+
+@query("SELECT doc_id, CASE WHEN lang = 'en' THEN 'correct, then translate' ELSE 'correct' END AS route FROM documents")
+def language_route(spark, d):
+    return fx.read(spark, d, "documents").select("doc_id", F.when(F.col("lang") == "en", "correct, then translate").otherwise("correct").alias("route"))
+
+
 @query(f"""WITH {fx.SQL_SEG}, i AS (SELECT *, sum(CASE WHEN speaker IS NOT DISTINCT FROM prev AND prev_ord IS NOT NULL THEN 0 ELSE 1 END) OVER (PARTITION BY rec ORDER BY ord ROWS UNBOUNDED PRECEDING)::BIGINT AS turn
   FROM (SELECT *, lag(speaker) OVER (PARTITION BY rec ORDER BY ord) AS prev, lag(ord) OVER (PARTITION BY rec ORDER BY ord) AS prev_ord FROM seg))
 SELECT rec, turn, speaker, min(ord)::BIGINT AS first_ord, count(*)::BIGINT AS n_segments, min(start_ms)::BIGINT AS start_ms, max(end_ms)::BIGINT AS end_ms FROM i GROUP BY rec, turn, speaker""")

@@ -116,6 +116,26 @@ def tagged_json(rows: DataFrame, counts: DataFrame, warning: str) -> DataFrame:
     return j.select("rec", F.to_json(doc).alias("json"))
 
 
+def labelled_json(rows: DataFrame) -> DataFrame:
+    """rec, json of a speaker-labelled transcript: rec, ord, start_ms, end_ms, assigned, text."""
+    fields = [timefmt.to_seconds(F.col("start_ms")).alias("start"), timefmt.to_seconds(F.col("end_ms")).alias("end"), F.col("assigned").alias("speaker"), F.col("text")]
+    return _segments(rows, fields, "ord").select("rec", F.to_json(F.struct("segments")).alias("json"))
+
+
+def manifest_json(chunks: DataFrame) -> DataFrame:
+    """rec, json of a chunk plan; transcripts.manifest reads it."""
+    sec = lambda c: timefmt.to_seconds(F.col(c))
+    one = F.struct("chunk", sec("dec_lo_ms").alias("decoded_start"), sec("dec_hi_ms").alias("decoded_end"), sec("core_lo_ms").alias("core_start"), sec("core_hi_ms").alias("core_end"), "fallback")
+    got = F.array_sort(F.collect_list(F.struct("chunk", one.alias("c"))))
+    return chunks.groupBy("rec").agg(F.to_json(F.struct(F.transform(got, lambda x: x["c"]).alias("chunks"))).alias("json"))
+
+
+def compact_json(segments: DataFrame, order: str = "ord") -> DataFrame:
+    """rec, ord, json of the declared segment fields; what is null is left out."""
+    keep = ("id", "start", "end", "text", "speaker_id", "temperature", "avg_logprob", "compression_ratio", "no_speech_prob")
+    return segments.select("rec", order, F.to_json(F.struct(*[c for c in keep if c in segments.columns])).alias("json"))
+
+
 def write_documents(texts: DataFrame, column: str, path: str, overwrite: bool = False) -> None:
     """Texts to files under path, one folder per recording; fails if path is there unless overwrite is asked for.
 

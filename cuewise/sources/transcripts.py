@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..functions import timefmt
+from ..functions import timefmt, urls
 
 
 def documents(spark: SparkSession, path: str, kind=schema.TRANSCRIPT) -> DataFrame:
@@ -59,7 +59,11 @@ def turns(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    rows = documents(spark, path, schema.MANIFEST).select("rec", F.explode("chunks").alias("c"))
+    return chunks(documents(spark, path, schema.MANIFEST))
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    rows = docs.select("rec", F.explode("chunks").alias("c"))
     ms = lambda name: timefmt.to_ms(F.col(f"c.{name}"))
     return rows.select("rec", "c.chunk", ms("decoded_start").alias("dec_lo_ms"), ms("decoded_end").alias("dec_hi_ms"), ms("core_start").alias("core_lo_ms"), ms("core_end").alias("core_hi_ms"), "c.fallback")
 
@@ -94,7 +98,7 @@ def read_srt(spark: SparkSession, path: str) -> DataFrame:
     return srt_cues(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("rec"), F.col("value").alias("text")))
 
 
-def media(spark: SparkSession, path: str) -> DataFrame:
-    """Files with their byte count and SHA-256; the content itself stays where it is."""
-    files = spark.read.format("binaryFile").load(path)
+def media(spark: SparkSession, path: str, limit: int = urls.SIZE_LIMIT) -> DataFrame:
+    """Files up to the limit with their byte count and SHA-256; the content itself stays where it is."""
+    files = spark.read.format("binaryFile").load(path).where(F.col("length") <= limit)
     return files.select(F.col("path").alias("rec"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
