@@ -42,7 +42,7 @@ RULES = (
     Rule("too_few_words", "n_words < 50"),
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words"),
     Rule("symbols", "10 * n_symbols > 3 * n_words"),
-    Rule("duplicate_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("duplicate_lines", "2 * n_dup_lines > n_lines"),
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 20 * n_words"),
     Rule("shouting", "2 * n_capitals > word_chars"),
@@ -198,7 +198,7 @@ WITH w AS (
   SELECT *, ((CASE WHEN n_words < 50 THEN 1 ELSE 0 END)
     + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END)
     + (CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END)
-    + (CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END)
+    + (CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END)
     + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END)
     + (CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)
     + (CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END))::BIGINT AS failed

@@ -63,10 +63,6 @@ def host_key(h: Column) -> Column:
     return F.when(h == "", F.lit("")).otherwise(F.concat(F.array_join(F.reverse(F.split(h, r"\.")), "\x01"), F.lit("\x01")))
 
 
-def _key(h: str) -> str:
-    return "\x01".join(reversed(h.split("."))) + "\x01"
-
-
 class Stack:
     """The rules whose interval holds the key last seen; keys come in ascending order."""
 
@@ -77,16 +73,17 @@ class Stack:
         while self.open and not key.startswith(self.open[-1][0]):
             self.open.pop()
 
-    def push(self, key: str, rule: tuple[str, str, str]) -> None:
+    def push(self, key: str, rule: tuple[str, str, str, str]) -> None:
         self._close(key)
         if not self.open or self.open[-1][0] != key:
             self.open.append((key, []))
         self.open[-1][1].append(rule)
 
-    def best(self, key: str, path: str):
-        """rule: (name, path, verdict)."""
+    def best(self, key: str, host: str, path: str):
+        """The longest fitting rule: (name, path, verdict, host). Hosts are compared once more, as a host with control
+        characters may have another host's key."""
         self._close(key)
-        fits = [(len(r[0]), len(k), r) for k, own in self.open for r in own if path.startswith(r[1])]
+        fits = [(len(r[0]), len(r[3]), r) for _, own in self.open for r in own if path.startswith(r[1]) and (host == r[3] or host.endswith("." + r[3]))]
         return max(fits)[2] if fits else None
 
 
@@ -134,9 +131,9 @@ def _sweep(urls: DataFrame, rules: DataFrame, borders: list[bytes], default: str
                 if p != part:
                     part, stack = p, Stack()
                 if kind == 0:
-                    stack.push(k, (h + w, w, v))
+                    stack.push(k, (h + w, w, v, h))
                     continue
-                best = stack.best(k, w)
+                best = stack.best(k, h, w)
                 ids.append(page)
                 hosts.append(h)
                 paths.append(w)

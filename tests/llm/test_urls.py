@@ -4,7 +4,7 @@ import pytest
 
 from cuewise.llm import urls
 
-CASES = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.COM/en/x?y#z", "http://www.example.com/en/a", "https://a.www.example.com/en/", "http://example.com/enx", "http://example.com", "http://notexample.com/en/", "http://x.net/es/1", "http://net/fr/", "http://x.netx/es/", "a://b://c/d", "http://u@x.com:80/p?//q", "http://org?x=http://a.com/", "http://É.com/é#", "http://x..com//", "http://com", "http://net/es", "http://\nx.com/\n/en?"]
+CASES = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.COM/en/x?y#z", "http://www.example.com/en/a", "https://a.www.example.com/en/", "http://example.com/enx", "http://example.com", "http://notexample.com/en/", "http://x.net/es/1", "http://net/fr/", "http://x.netx/es/", "a://b://c/d", "http://u@x.com:80/p?//q", "http://org?x=http://a.com/", "http://É.com/é#", "http://x..com//", "http://com", "http://net/es", "http://\nx.com/\n/en?", "http://net\x01a/es/", "http://es\x01net/es/"]
 
 
 def split(url):
