@@ -3,14 +3,16 @@
 1. Every text becomes its set of five-word shingles (64-bit hashes). The top 8 bits of a hash name one of 256 buckets;
    the smallest rest in a bucket is stored as a register of 16 bits: its leading zeros (6) and the 10 bits that follow
    the first one. Equal sets are folded into one class at once, so that copies never meet each other.
-2. Empty registers borrow from the next filled one (and remember from where); 36 bands of 7 registers are hashed. Texts
+2. Empty registers borrow from a filled one that their own chain of probes finds (and remember which); 36 bands of 7 registers are hashed. Texts
    of similarity 0.85 share a band but for about 1 pair in a million.
 3. In each band bucket every class is paired with the bucket's first and last class only, whatever its size: counts and
    extremes are aggregated, not grouped. Each class's best pair (most shared bands) is confirmed first; connected
    components of these links settle the dense groups with about one confirmation a class.
-4. What is left: pairs that join two components, and, in buckets of four or more classes from several components, all
-   pairs across components whose registers agree enough. Those buckets are cut into blocks of registers, and blocks are
-   compared pairwise in parallel, so no bucket meets in one task and none is capped.
+4. What is left: in buckets of up to three classes the pairs that join two components (first and last meet everyone
+   there), and in larger buckets from several components all pairs across them. Those buckets are cut into blocks that
+   hold registers and full sets; blocks are compared pairwise in parallel, so no bucket meets in one task and none is
+   capped. A pair is looked at in the first band that it shares, and a block pair gives links only between components
+   that it has not linked yet, so far fewer rows come out than there are pairs.
 5. A pair's similarity is estimated from its registers, corrected for chance collisions; pairs clearly below the
    threshold go, and the others are confirmed on their full shingle sets (40 bits of each hash).
 
@@ -39,7 +41,7 @@ BANDS, ROWS = 36, 7
 MOST_BROADCAST = 1_000_000
 #: Estimates this many standard deviations below the threshold are dropped unconfirmed.
 DEVIATIONS = 4.5
-BLOCK = 256
+BLOCK = 128
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,10 +82,30 @@ def registers(u: np.ndarray) -> np.ndarray:
     return out
 
 
+@functools.lru_cache(maxsize=1)
+def _probes() -> np.ndarray:
+    """For each attempt and bucket the bucket to borrow from."""
+    return (_mix(np.arange(4096 * BUCKETS, dtype=np.uint64) * _M + np.uint64(7)) >> np.uint64(56)).astype(np.int64).reshape(4096, BUCKETS)
+
+
+def _sources(filled: np.ndarray) -> np.ndarray:
+    """For each bucket itself if filled, else the first filled one of its attempts: small sets are spread evenly too."""
+    out = np.tile(np.arange(BUCKETS), (len(filled), 1))
+    row, bucket = np.nonzero(~filled)
+    for probe in _probes():
+        if not len(row):
+            return out
+        p = probe[bucket]
+        hit = filled[row, p]
+        out[row[hit], bucket[hit]] = p[hit]
+        row, bucket = row[~hit], bucket[~hit]
+    out[row, bucket] = filled.argmax(1)[row]
+    return out
+
+
 def band_keys(r: np.ndarray) -> np.ndarray:
     """r: rows of registers, none all empty. One 64-bit key a band."""
-    filled = np.where(np.hstack([r, r]) > 0, np.arange(2 * BUCKETS, dtype=np.int32), np.int32(4 * BUCKETS))
-    source = np.minimum.accumulate(filled[:, ::-1], axis=1)[:, ::-1][:, :BUCKETS] % BUCKETS
+    source = _sources(r > 0)
     value = (np.take_along_axis(r, source, 1).astype(np.uint64) << np.uint64(8)) | source.astype(np.uint64)
     keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(r), 1))
     for j in range(ROWS):
@@ -186,7 +208,7 @@ class Finder:
         ends = bands.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
         met = table(bands.join(ends, "band"), "met")
         two = F.explode(F.array(F.col("lo"), F.col("hi"))).alias("o")
-        pairs = met.select("rep", two).where("rep <> o").groupBy(F.least("rep", "o").alias("a"), F.greatest("rep", "o").alias("b")).agg(F.count(F.lit(1)).alias("votes"))
+        pairs = met.select("rep", "c", two).where("rep <> o").groupBy(F.least("rep", "o").alias("a"), F.greatest("rep", "o").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.min("c").alias("c"))
         pairs = table(pairs, "pairs")
         ways = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "votes").union(pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "votes"))
         best = ways.groupBy("x").agg(F.max(F.struct("votes", (-F.col("y")).alias("y"))).alias("top"))
@@ -199,45 +221,36 @@ class Finder:
             j = df.join(of.select(F.col("id").alias("_id"), F.col("comp").alias("_comp")), F.col(column) == F.col("_id"), "left")
             return j.withColumn(name, F.coalesce("_comp", column)).drop("_id", "_comp")
 
-        across = with_component(with_component(pairs.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
+        small = pairs.where("c < 4").select("a", "b").join(first, ["a", "b"], "left_anti")
+        across = with_component(with_component(small, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
         members = with_component(met.where("c >= 4").select("band", "rep", "c"), "rep", "comp")
         mixed = members.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("band")
-        rest = self.blocks(members.join(mixed, "band", "left_semi"))
-        open_pairs = table(across.union(rest).distinct().join(first, ["a", "b"], "left_anti"), "open")
-        return sure.union(self.confirmed(open_pairs))
+        rest = self.blocks(table(members.join(mixed, "band", "left_semi"), "mixed"))
+        return sure.union(self.confirmed(table(across, "across"))).union(rest)
 
     def blocks(self, members: DataFrame) -> DataFrame:
-        """Pairs a < b across components of a bucket whose registers agree enough. members: band, rep, c, comp."""
+        """Confirmed links a, b across the components of each bucket. members: band, rep, c, comp."""
         threshold = self.threshold
+        ids = table(members.select(F.col("rep").alias("id")).distinct(), "ids")
+        sets = table(self._sets(bounded_broadcast(ids, ids.count(), MOST_BROADCAST)), "sets").select(F.col("doc_id").alias("_doc"), "u")
         chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / BLOCK)).cast("long")
-        regs = self.classes.select(F.col("rep").alias("_rep"), "n", "regs")
-        rows = members.join(regs, F.col("rep") == F.col("_rep")).select("band", chunk.alias("chunk"), F.struct("rep", "comp", "n", "regs").alias("m"))
-        held = table(rows.groupBy("band", "chunk").agg(F.collect_list("m").alias("ms")), "blocks")
+        regs = self.classes.select(F.col("rep").alias("_rep"), "regs")
+        rows = members.join(regs, F.col("rep") == F.col("_rep")).join(sets, F.col("rep") == F.col("_doc"))
+        held = table(rows.groupBy("band", chunk.alias("chunk")).agg(F.collect_list(F.struct("rep", "comp", "regs", "u")).alias("ms")), "blocks")
         left = held.select("band", F.col("chunk").alias("i"), F.col("ms").alias("l"))
         right = held.select(F.col("band").alias("band2"), F.col("chunk").alias("j"), F.col("ms").alias("r"))
-        both = left.join(right, (F.col("band") == F.col("band2")) & (F.col("i") <= F.col("j"))).select("l", "r")
+        both = left.join(right, (F.col("band") == F.col("band2")) & (F.col("i") <= F.col("j"))).select("band", "l", "r")
 
         def run(batches):
             import pyarrow as pa
 
             for b in batches:
-                a_out, b_out = [], []
-                for l, r in zip(b.column(0), b.column(1), strict=True):
-                    l, r = l.as_py(), r.as_py()
-                    rr = np.stack([np.frombuffer(x["regs"], np.uint16) for x in r])
-                    ids = np.asarray([x["rep"] for x in r])
-                    comps = np.asarray([x["comp"] for x in r])
-                    for x in l:
-                        own = np.frombuffer(x["regs"], np.uint16)
-                        either = ((rr > 0) | (own > 0)).sum(1)
-                        same = ((rr == own) & (own > 0)).sum(1)
-                        good = (comps != x["comp"]) & (same / np.maximum(either, 1) >= cut(threshold, either))
-                        for y in ids[good].tolist():
-                            a_out.append(min(x["rep"], y))
-                            b_out.append(max(x["rep"], y))
-                yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
-
-        return both.mapInArrow(run, "a long, b long").where("a < b").distinct()
+                out: list[tuple[int, int]] = []
+                for band, l, r in zip(*(b.column(i) for i in range(3)), strict=True):
+                    out += _linked(band.as_py(), l.as_py(), r.as_py(), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in out], pa.int64()), pa.array([max(x) for x in out], pa.int64())], names=["a", "b"])
+
+        return table(both.mapInArrow(run, "a long, b long").distinct(), "links")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Of the pairs a, b those whose full sets are similar enough."""
@@ -270,9 +283,7 @@ class Finder:
             for t in batches:
                 keep = []
                 for x, y in zip(t.column("ua").to_pylist(), t.column("ub").to_pylist(), strict=True):
-                    x, y = _unpacked(x), _unpacked(y)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(both >= threshold * (len(x) + len(y) - both) - 1e-9)
+                    keep.append(_similar(_unpacked(x), _unpacked(y), threshold))
                 k = pa.array(keep, pa.bool_())
                 yield pa.RecordBatch.from_arrays([t.column("a").filter(k), t.column("b").filter(k)], names=["a", "b"])
 
@@ -291,6 +302,46 @@ class Finder:
         return self.docs.join(ids, self.docs["doc_id"] == ids["id"], "left_semi").mapInArrow(run, "doc_id long, u binary")
 
 
+def _similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    if min(len(x), len(y)) < threshold * max(len(x), len(y)) - 1e-9:
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= threshold * (len(x) + len(y) - both) - 1e-9
+
+
+def _linked(band: int, left: list[dict], right: list[dict], threshold: float) -> list[tuple[int, int]]:
+    """Links between members of two blocks of a bucket, at most one for each two components joined here."""
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (p := parent.get(c, c)) != c:
+            parent[c] = parent.get(p, p)
+            c = p
+        return c
+
+    def opened(ms: list[dict]):
+        r = np.stack([np.frombuffer(m["regs"], np.uint16) for m in ms])
+        return r, band_keys(r), [_unpacked(m["u"]) for m in ms]
+
+    (lr, lk, ls), (rr, rk, rs) = opened(left), opened(right)
+    at = int(np.flatnonzero(lk[0] == band)[0])
+    comps = np.asarray([m["comp"] for m in right])
+    out = []
+    for i, m in enumerate(left):
+        # the first band that the two share is this one
+        near = (comps != m["comp"]) & ~(rk[:, :at] == lk[i, :at]).any(1)
+        for j in np.flatnonzero(near).tolist():
+            if root(m["comp"]) == root(right[j]["comp"]):
+                continue
+            either = ((rr[j] > 0) | (lr[i] > 0)).sum()
+            if ((rr[j] == lr[i]) & (rr[j] > 0)).sum() < cut(threshold, either) * either:
+                continue
+            if _similar(ls[i], rs[j], threshold):
+                parent[root(m["comp"])] = root(right[j]["comp"])
+                out.append((m["rep"], right[j]["rep"]))
+    return out
+
+
 def _unpacked(packed: bytes) -> np.ndarray:
     five = np.frombuffer(packed, np.uint8).reshape(-1, 5)
     return np.hstack([five, np.zeros((len(five), 3), np.uint8)]).view("<u8").ravel()
