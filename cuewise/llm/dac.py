@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shared_folder, text_bytes
-from .tokens import END_ID, WordIds
+from .tokens import END_ID, word_ids
 
 MAGIC, WIDTH, STEP = b"DAC1", 8, 512
 BLOCK_TOKENS = 1 << 19
@@ -99,7 +99,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, key: str = "doc_id", text:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, words, block, before = TaskContext.get().partitionId(), WordIds(tokenizer), 0, 0
+        part, words, block, before = TaskContext.get().partitionId(), word_ids(tokenizer), 0, 0
         keys, ends, ids, n = [], [], [], 0
 
         def row():

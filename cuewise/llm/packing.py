@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from .common import text_bytes
-from .tokens import END_ID, WordIds
+from .tokens import END_ID, word_ids
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _END = np.asarray([END_ID], dtype="<u4").tobytes()
@@ -109,7 +109,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, key: str = "doc_id",
         import pyarrow as pa
         from pyspark import TaskContext
 
-        base, words, most = TaskContext.get().partitionId() << 40, WordIds(tokenizer), 20_000
+        base, words, most = TaskContext.get().partitionId() << 40, word_ids(tokenizer), 20_000
         schema = pa.schema([(f.split()[0], pa.int64()) for f in SCHEMA.split(", ")])
 
         def read():

@@ -1,15 +1,16 @@
 """Token ids of whole texts by a public tokenizer file, with a bounded cache of words.
 
 The tokenizer drops white space and no pre-token spans it, so the ids of a text are those of its words in a
-row. A word of Latin letters goes straight to the library's BPE model piece by piece; any other word, and any
-that holds a special token's marker, goes through the library's whole pipeline. Tests hold both to be equal.
+row. A word of printable Latin characters goes straight to the library's BPE model piece by piece; any other word, and
+any that holds a special token's marker, goes through the library's whole pipeline. Tests hold both to be equal.
 """
 
 from __future__ import annotations
 
+import functools
+import struct
 import unicodedata
 
-import numpy as np
 import regex
 
 END_ID = 1
@@ -30,9 +31,12 @@ _LETTERS = _byte_letters()
 
 
 class WordIds(dict):
-    """word (UTF-8 bytes) -> its ids as little-endian unsigned 32-bit integers. Holds at most `most` words."""
+    """word (UTF-8 bytes) -> its ids as little-endian unsigned 32-bit integers.
 
-    def __init__(self, path: str, most: int = 300_000):
+    Holds at most `most` words, and half as many pieces of words, some 200 bytes each; then it starts anew.
+    """
+
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -48,18 +52,21 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        if len(self.pieces) >= self.most:
-            self.pieces.clear()
-        text = word.decode("utf-8", "replace")
-        if "<|" in text or max(text) > "\xff":
-            out = _packed(self.whole.encode(text, add_special_tokens=False).ids)
+        if word.isascii() and (lower := word.lower()).isalpha():
+            out = self._piece(lower.decode())
         else:
-            out = b"".join([self._piece(p) for p in _PIECES.findall(unicodedata.normalize("NFC", text).lower())])
+            text = word.decode("utf-8", "replace")
+            if "<|" in text or max(text) > "\xff" or not text.isprintable():
+                out = _packed(self.whole.encode(text, add_special_tokens=False).ids)
+            else:
+                out = b"".join(map(self._piece, _PIECES.findall(unicodedata.normalize("NFC", text).lower())))
         self[word] = out
         return out
 
     def _piece(self, piece: str) -> bytes:
         if (got := self.pieces.get(piece)) is None:
+            if len(self.pieces) >= self.most // 2:
+                self.pieces.clear()
             mapped = piece if piece.isascii() else "".join([_LETTERS[b] for b in piece.encode()])
             got = self.pieces[piece] = _packed([t.id for t in self.model.tokenize(mapped)])
         return got
@@ -72,4 +79,10 @@ class WordIds(dict):
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@functools.lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One cache for all tasks of a Python worker."""
+    return WordIds(path)
