@@ -2,28 +2,68 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The first of the code points that stand for words; the surrogates at 55296 are the end.
-FIRST, LAST = 19968, 55295
 
+def edits(a: Sequence, b: Sequence) -> int:
+    """Levenshtein distance of two strings or lists of any length: a column of the table is kept as the bits of two whole
+    numbers (Hyyrö's form of Myers' algorithm), so a step costs a few operations on len(a) bits."""
+    if len(a) < len(b):
+        a, b = b, a
+    lo, n, m = 0, len(a), len(b)
+    while lo < m and a[lo] == b[lo]:
+        lo += 1
+    while m > lo and a[n - 1] == b[m - 1]:
+        n, m = n - 1, m - 1
+    a, b = a[lo:n], b[lo:m]
+    n = len(a)
+    if not len(b):
+        return n
+    wanted, places = set(b), {}
+    for i, x in enumerate(a):
+        if x in wanted:
+            places.setdefault(x, []).append(i)
+    at = {}
+    for x, own in places.items():
+        bits = bytearray(n // 8 + 1)
+        for i in own:
+            bits[i >> 3] |= 1 << (i & 7)
+        at[x] = int.from_bytes(bits, "little")
+    mask, last = (1 << n) - 1, n - 1
+    up, down, out = mask, 0, n
+    for x in b:
+        same = at.get(x, 0)
+        diagonal = ((((same & up) + up) ^ up) | same | down) & mask
+        right = down | (mask ^ (diagonal | up))
+        left = diagonal & up
+        out += (right >> last) - (left >> last)
+        right = (right << 1) | 1
+        up = ((left << 1) & mask) | (mask ^ ((diagonal | right) & mask))
+        down = right & diagonal
+    return out
 
-def char_edits(a: Column, b: Column) -> Column:
-    return F.levenshtein(a, b).cast("bigint")
 
+def _counted(a: Column, b: Column) -> Column:
+    @F.pandas_udf("bigint")
+    def each(x: pd.Series, y: pd.Series) -> pd.Series:
+        # strings come as they are, arrays as numpy arrays
+        rows = [None if p is None or q is None else edits(p, q) if isinstance(p, str) else edits(list(p), list(q)) for p, q in zip(x, y, strict=True)]
+        return pd.Series(rows, dtype="Int64")
 
-def word_edits(a: Column, b: Column) -> Column:
-    """a, b: arrays of words. Every distinct word of a pair becomes one code point, so the built-in character distance
-    counts words. A pair of more than some 35,000 distinct words fails rather than miscounts."""
-    known = F.array_distinct(F.concat(a, b))
+    return each(a, b)
 
-    def as_text(words: Column, known: Column) -> Column:
-        return F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.hex(F.array_position(known, w) + F.lit(FIRST))), "UTF-16BE")), "")
 
-    fits = F.when(F.size(known) > LAST - FIRST, F.raise_error(F.lit("too many distinct words for one comparison"))).otherwise(known)
-    once = F.transform(F.array(fits), lambda v: F.levenshtein(as_text(a, v), as_text(b, v)))
-    return F.element_at(once, 1).cast("bigint")
+def char_edits(a: Column, b: Column) -> Column:
+    return _counted(a, b)
+
+
+def word_edits(a: Column, b: Column) -> Column:
+    """a, b: arrays of words, with any number of distinct ones."""
+    return _counted(a, b)
 
 
 def disagreement(edits: Column, length_of_first: Column) -> Column:

@@ -550,7 +550,9 @@ def reading_speed(spark, d):
     return quality.reading_speed(uneven).select("rec", "ord", "chars_per_s")
 
 
-# Disagreement of two runs: neighbouring ASCII documents stand for two models' texts of one window.
+# Disagreement of two runs: neighbouring documents stand for two models' texts of one window. The three queries with SQL
+# are samples that DuckDB can check (the heads of ASCII texts, for words with at most 90 distinct ones); the whole job is
+# done by the *_whole queries.
 
 
 def _pairs(spark, d, size: int) -> DataFrame:
@@ -592,6 +594,29 @@ def disagreement_total(spark, d):
     return disagree.total(_word_rows(spark, d))
 
 
+# The whole job: all pairs of neighbouring documents, whole texts, any script. DuckDB cannot follow, so there is no SQL.
+
+
+def _whole_pairs(spark, d) -> DataFrame:
+    docs = fx.read(spark, d, "documents").select(F.lit("r").alias("rec"), F.floor(F.col("doc_id") / 2).cast("bigint").alias("window"), "doc_id", "text")
+    return disagree.pair(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 <> 0"))
+
+
+@query()
+def char_disagreement_whole(spark, d):
+    return disagree.by_characters(_whole_pairs(spark, d)).select("window", "n_chars", "edits", "disagreement")
+
+
+@query()
+def word_disagreement_whole(spark, d):
+    return disagree.by_words(_whole_pairs(spark, d)).select("window", "n_words", "edits", "disagreement")
+
+
+@query()
+def disagreement_total_whole(spark, d):
+    return disagree.total(disagree.by_words(_whole_pairs(spark, d)))
+
+
 @query("""SELECT conv_id AS rec, turn, length(regexp_replace(regexp_replace(lower(text), '[\\p{P}\\p{S}]', '', 'g'), '\\s+', '', 'g'))::BIGINT AS n FROM conversations""")
 def char_normalize(spark, d):
     x = textnorm.characters(F.col("text"))

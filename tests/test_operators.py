@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 import threading
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
@@ -228,3 +229,46 @@ def test_download_follows_a_redirect(tmp_path):
         server.server_close()
     assert (tmp_path / "episode.mp3").read_bytes() == body and got["resolved_url"].endswith("/episode.mp3")
     assert "secret" not in json.dumps(got) and got["url_query_redacted"] and (tmp_path / "download.json").is_file()
+
+
+def plain_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_edits_equal_the_plain_table():
+    rnd = random.Random(3)
+    for _ in range(400):
+        a, b = (["".join(rnd.choice("abé日")) for _ in range(rnd.randrange(80))] for _ in range(2))
+        assert distance.edits(a, b) == distance.edits("".join(a), "".join(b)) == plain_edits(a, b)
+
+
+def test_words_of_any_number(spark):
+    n = 40_000
+    a, b = (F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit(x), i.cast("string"))) for x in "ax")
+    assert one(spark, distance.word_edits(a, F.concat(F.slice(a, 3, n), F.slice(b, 1, 3)))) == 5
+
+
+def test_whole_documents_disagree(spark, tmp_path):
+    """Accents, differences after character 240, and more than 90 distinct words."""
+    from cuewise.plans import catalogue
+
+    rnd = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)] + ["Über", "niño", "日本語", "été!"]
+    texts = [" ".join(rnd.choices(vocabulary, k=150 + i)) for i in range(6)]
+    texts += ["same " * 60 + "left", "same " * 60 + "right", "", "é", None, "x"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    split = lambda t: [w for w in re.sub(r"[^\w\s]", "", t.lower()).split() if w]
+    pairs = [(i // 2, texts[i], texts[i + 1]) for i in range(0, len(texts), 2)]
+    got = {r["window"]: (r["n_chars"], r["edits"]) for r in catalogue.char_disagreement_whole(spark, str(tmp_path)).collect()}
+    assert got == {k: (None, None) if a is None else (len(a), plain_edits(a, b)) for k, a, b in pairs}
+    want = {k: (len(split(a)), plain_edits(split(a), split(b))) for k, a, b in pairs if a is not None}
+    got = {r["window"]: (r["n_words"], r["edits"]) for r in catalogue.word_disagreement_whole(spark, str(tmp_path)).collect()}
+    assert {k: got[k] for k in want} == want
+    total = catalogue.disagreement_total_whole(spark, str(tmp_path)).where("rec is null").first()
+    assert (total["n_words"], total["edits"]) == tuple(map(sum, zip(*want.values(), strict=True)))
