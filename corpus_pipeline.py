@@ -15,6 +15,8 @@ from cuewise.llm.queries import tokenizer_path
 
 #: Ids up to this many (some 8 bytes each) are broadcast; beyond it they are joined by shuffle.
 MOST_BROADCAST = 1_000_000
+#: Texts of this similarity or more are near copies here; op5's contract alone has 0.85.
+NEAR = 0.8
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id; of rows with one id, one."""
-    found = table(neardup.find(docs).select("doc_id", "kept"), "dedup")
+    found = table(neardup.find(docs, NEAR).select("doc_id", "kept"), "dedup")
     gone = table(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count()
     kept = docs.join(bounded_broadcast(gone, gone.count(), MOST_BROADCAST), F.col("doc_id") == F.col("_gone"), "left_anti")

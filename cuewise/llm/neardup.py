@@ -3,8 +3,8 @@
 1. Every text becomes its set of five-word shingles (64-bit hashes). The top 8 bits of a hash name one of 256 buckets;
    the smallest rest in a bucket is stored as a register of 16 bits: its leading zeros (6) and the 10 bits that follow
    the first one. Equal sets are folded into one class at once, so that copies never meet each other.
-2. Empty registers borrow from a filled one that their own chain of probes finds (and remember which); 36 bands of 7 registers are hashed. Texts
-   of similarity 0.85 share a band but for about 1 pair in a million.
+2. Empty registers borrow from a filled one that their own chain of probes finds (and remember which); bands of registers are hashed: as
+   wide ones as miss at most 1 pair in a million at the threshold (36 of 7 at 0.85, 51 of 5 at 0.8).
 3. In each band bucket every class is paired with the bucket's first and last class only, whatever its size: counts and
    extremes are aggregated, not grouped. Each class's best pair (most shared bands) is confirmed first; connected
    components of these links settle the dense groups with about one confirmation a class.
@@ -36,7 +36,8 @@ from .common import bounded_broadcast, table, text_bytes
 
 WORDS = 5
 BUCKETS, MANTISSA = 256, 10
-BANDS, ROWS = 36, 7
+#: The share of pairs just at the threshold that may meet in no band.
+MISSED = 1e-6
 #: Ids up to this many (8 bytes each) are broadcast to the texts; beyond it they are joined by shuffle.
 MOST_BROADCAST = 1_000_000
 #: Estimates this many standard deviations below the threshold are dropped unconfirmed.
@@ -45,6 +46,15 @@ BLOCK = 128
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
+@functools.lru_cache(maxsize=64)
+def shape(threshold: float) -> tuple[int, int]:
+    """Bands and registers a band: the widest bands of which texts at the threshold share one but for MISSED of the pairs."""
+    for rows in range(BUCKETS, 1, -1):
+        if (1 - threshold**rows) ** (BUCKETS // rows) <= MISSED:
+            return BUCKETS // rows, rows
+    return BUCKETS, 1
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -103,13 +113,14 @@ def _sources(filled: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(r: np.ndarray) -> np.ndarray:
+def band_keys(r: np.ndarray, threshold: float = 0.85) -> np.ndarray:
     """r: rows of registers, none all empty. One 64-bit key a band."""
+    bands, rows = shape(threshold)
     source = _sources(r > 0)
     value = (np.take_along_axis(r, source, 1).astype(np.uint64) << np.uint64(8)) | source.astype(np.uint64)
-    keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(r), 1))
-    for j in range(ROWS):
-        keys = _mix(keys * _M + value[:, j * BANDS : (j + 1) * BANDS])
+    keys = np.tile(np.arange(bands, dtype=np.uint64), (len(r), 1))
+    for j in range(rows):
+        keys = _mix(keys * _M + value[:, j * bands : (j + 1) * bands])
     return keys.astype(np.int64)
 
 
@@ -158,7 +169,7 @@ def _sign(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), text_bytes(text).alias("t")).mapInArrow(run, schema)
 
 
-def _bands(classes: DataFrame) -> DataFrame:
+def _bands(classes: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
@@ -166,8 +177,8 @@ def _bands(classes: DataFrame) -> DataFrame:
             for i in range(0, b.num_rows, 1000):
                 part = b.slice(i, 1000)
                 r = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in part.column(1)])
-                ids = np.repeat(part.column(0).to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(band_keys(r).ravel())], names=["rep", "band"])
+                ids = np.repeat(part.column(0).to_numpy(), shape(threshold)[0])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(band_keys(r, threshold).ravel())], names=["rep", "band"])
 
     return classes.select("rep", "regs").mapInArrow(run, "rep long, band long")
 
@@ -204,7 +215,7 @@ class Finder:
 
     def links(self) -> DataFrame:
         """Confirmed links a, b between classes, enough of them to connect every component."""
-        bands = _bands(self.classes)
+        bands = _bands(self.classes, self.threshold)
         ends = bands.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
         met = table(bands.join(ends, "band"), "met")
         two = F.explode(F.array(F.col("lo"), F.col("hi"))).alias("o")
@@ -321,7 +332,7 @@ def _linked(band: int, left: list[dict], right: list[dict], threshold: float) ->
 
     def opened(ms: list[dict]):
         r = np.stack([np.frombuffer(m["regs"], np.uint16) for m in ms])
-        return r, band_keys(r), [_unpacked(m["u"]) for m in ms]
+        return r, band_keys(r, threshold), [_unpacked(m["u"]) for m in ms]
 
     (lr, lk, ls), (rr, rk, rs) = opened(left), opened(right)
     at = int(np.flatnonzero(lk[0] == band)[0])

@@ -31,7 +31,7 @@ def op4_secret_scans(spark, sf_dir):
 
 
 def op5_near_dedup(spark, sf_dir):
-    return neardup.find(read(spark, sf_dir, "documents"))
+    return neardup.find(read(spark, sf_dir, "documents"), 0.85)
 
 
 def op6_url_filters(spark, sf_dir):

@@ -61,3 +61,22 @@ def test_queries_are_registered():
     names = [f"op{n}_" for n in range(1, 11)]
     assert all(sum(q.startswith(n) for q in queries.QUERIES) == 1 for n in names)
     assert "pipeline" in entry.queries() and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+def test_near_copies_from_a_similarity_of_0_8(spark, docs_of):
+    """Two changed words of a hundred: 86 of 106 shingles are shared, 0.81; three: 81 of 111, 0.73."""
+    out = []
+    for i in range(12):
+        base = [f"w{i}x{j}" for j in range(100)]
+        two, three = list(base), list(base)
+        two[20] = two[60] = three[10] = three[40] = three[80] = "other"
+        out += [(k * 100 + i, " ".join(w)) for k, w in enumerate((base, two, three))]
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.dedup_stage(spark, docs_of(out), "").collect())
+    assert kept == [*range(12), *range(200, 212)]
+
+
+def test_bands_follow_the_threshold():
+    assert neardup.shape(0.85) == (36, 7)
+    for t in (0.5, 0.7, 0.8, 0.9, 0.95):
+        bands, rows = neardup.shape(t)
+        assert bands * rows <= neardup.BUCKETS and (1 - t**rows) ** bands <= 1e-6
