@@ -22,6 +22,8 @@ NEAR = 0.8
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no letter in the text) go; all others stay as they are."""
     model = langid.train(docs.where(~F.coalesce(langid.remainder(3) == 1, F.lit(False))))
+    if not model.families:  # nothing was learned, so only the letter counts
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     marked = langid.predict(docs.withColumn("_row", F.struct(*docs.columns)), model)
     return marked.where(F.col("lang_pred") != langid.UND).select("_row.*")
 

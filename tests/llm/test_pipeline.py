@@ -80,3 +80,10 @@ def test_bands_follow_the_threshold():
     for t in (0.5, 0.7, 0.8, 0.9, 0.95):
         bands, rows = neardup.shape(t)
         assert bands * rows <= neardup.BUCKETS and (1 - t**rows) ** bands <= 1e-6
+
+
+def test_documents_stay_where_no_language_is_known(spark, docs_of):
+    texts = ["the cat and the dog", "日本語", "123 456 !!", "", None, "12é"]
+    docs = docs_of([(i, t, None, "s") for i, t in enumerate(texts)])
+    got = corpus_pipeline.language_stage(spark, docs, "")
+    assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [0, 1, 5]
