@@ -5,12 +5,17 @@ word borders). The features of a text are the shares of its n-grams, so every li
 of scores of words, and words are scored once and cached. Linear support vector machines (squared hinge loss) are
 trained: for each family one against the rest, and for each pair of languages of a family one between the two.
 
-Training reads a sample of labelled rows bounded by `per_language` rows a language (a parameter) that the caller has
-cut off from held-out rows; prediction reads whole texts and nothing else.
+Training reads a bounded sample of the labelled rows that the caller has cut off from held-out ones: of each language
+the `per_language` distinct texts with the smallest hashes, or fewer where there are so many languages that all
+of them would be more than `most_rows` (both are parameters), but one at least. Copies of a text count once, so a text
+that fills a third of a language takes one place, and no language can take another's. Prediction reads whole texts
+and nothing else.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; with no labelled row at all every
-text is `und`; with one language every text with a letter is that language; equal rows get equal answers; an empty
-table gives no rows; other columns are not read.
+text is `und`; with one language every text with a letter is that language; a text labelled with several languages is
+learned as each of them; of families (or languages) that score alike the first by name wins; equal rows get equal
+answers, however often they are there; texts of any length are read whole; an empty table gives no rows; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -20,16 +25,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import table, text_bytes
 
 UND = "und"
 DIMENSIONS = 1 << 12
-PER_LANGUAGE = 300
-#: Languages beyond this number are not learned; the largest stay.
-MOST_LANGUAGES = 256
+#: Distinct texts that are learned from, of each language and in all (16 KB each on the driver).
+PER_LANGUAGE, MOST_ROWS = 300, 6000
+#: A text's place in the draw is its hash by this; of a language so many times the texts wanted come into it.
+GRAIN, SPARE = 1_000_000, 6
 
 # Families of common languages by ISO 639-1 code. Any other language is a family of its own.
 FAMILIES = {
@@ -156,7 +162,7 @@ class Model:
                 m = margins[first + i]
                 votes[a if m >= 0 else b] += 1
                 least[a], least[b] = min(least[a], m), min(least[b], -m)
-        best = max(langs, key=lambda x: (votes[x], least[x]))
+        best = max(langs, key=lambda x: (votes[x], least[x]))  # of equals the first
         if len(langs) > 1:
             sure *= _sigmoid(self.steep * least[best])
         return best, float(min(1.0, max(0.0, sure)))
@@ -191,21 +197,42 @@ def fit(x: np.ndarray, langs: list[str]) -> Model:
     return Model(families, own, pairs, scaled.astype(np.float32), w[-1] - mean @ scaled)
 
 
-def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """rows: labelled rows that may be learned from. About per_language of each language are drawn by hash."""
-    rows = rows.select(text_bytes(text).alias("t"), F.col(lang).alias("lang")).where(F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+def draw(rows: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> DataFrame:
+    """lang, h, t: the distinct texts to learn from. rows: t (bytes), lang (not null)."""
+    rows = rows.withColumn("h", F.xxhash64("t"))
+    # a row for each language comes to the driver, as the model holds weights for each
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
     if not counts:
-        return Model()
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))])
-    drawn = rows.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+        return rows.limit(0).select("lang", "h", "t")
+    each = max(1, min(per_language, most_rows // len(counts)))
+    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, (SPARE * each + 30) / max(r["n"], 1))))])
+    near = rows.where(F.pmod("h", F.lit(GRAIN)) < share[F.col("lang")] * GRAIN)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(GRAIN)), "h"))
+    few = near.select("lang", "h").distinct().withColumn("i", rank).where(F.col("i") <= each).select("lang", "h")
+    few = table(few, "drawn")  # at most most_rows rows, or one a language: broadcast
+
+    def once(batches):
+        seen = set()
+        for b in batches:
+            own = list(zip(b.column("lang").to_pylist(), b.column("h").to_pylist(), strict=True))
+            at = [i for i, x in enumerate(own) if not (x in seen or seen.add(x))]
+            if at:
+                yield b.take(at)
+
+    met = near.join(F.broadcast(few), ["lang", "h"]).select("lang", "h", "t")
+    return met.mapInArrow(once, met.schema).dropDuplicates(["lang", "h"])
+
+
+def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> Model:
+    """rows: labelled rows that may be learned from."""
+    rows = rows.select(text_bytes(text).alias("t"), F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull())
 
     def shares(batches):
         import pyarrow as pa
 
         for b in batches:
             out, langs = [], []
-            for t, own in zip(b.column(0), b.column(1), strict=True):
+            for t, own in zip(b.column("t"), b.column("lang"), strict=True):
                 words = [lowered(w) for w in t.as_py().split()]
                 if words:
                     x = sum(np.bincount(h, minlength=DIMENSIONS) for _, h in _grams(words)[1]).astype(np.float64)
@@ -213,7 +240,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language:
                     langs.append(own.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(out, pa.binary())], names=["lang", "x"])
 
-    got = drawn.mapInArrow(shares, "lang string, x binary").orderBy("lang", F.md5("x")).limit(2 * per_language * len(counts)).collect()
+    got = draw(rows, per_language, most_rows).mapInArrow(shares, "lang string, x binary").orderBy("lang", F.md5("x")).collect()
     if not got:
         return Model()
     return fit(np.stack([np.frombuffer(r["x"], "<f4") for r in got]), [r["lang"] for r in got])

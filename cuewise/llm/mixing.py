@@ -31,11 +31,16 @@ def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     return docs.select(
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
-        F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD_PATTERN)).cast("long").alias("size"),
+        words(F.col(text)).alias("size"),
         hashed(F.col(key)).alias("h"),
     )
 
 
+def words(text: Column) -> Column:
+    """The number of words of a text; null has none."""
+    return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD_PATTERN)).cast("long")
+
+
 def hashed(key: Column) -> Column:
     """The 60-bit hash of a key; null counts as an empty string."""
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")

@@ -6,33 +6,38 @@
 2. Empty registers borrow from a filled one that their own chain of probes finds (and remember which); bands of registers are hashed: as
    wide ones as miss at most 1 pair in a million at the threshold (36 of 7 at 0.85, 51 of 5 at 0.8).
 3. In each band bucket every class is paired with the bucket's first and last class only, whatever its size: counts and
-   extremes are aggregated, not grouped. Each class's best pair (most shared bands) is confirmed first; connected
-   components of these links settle the dense groups with about one confirmation a class.
+   extremes are aggregated, not grouped, and come back to the members by a join that deals large buckets over all tasks.
+   Each class's best pair (most shared bands) is confirmed first; connected components of these links settle the dense
+   groups with about one confirmation a class.
 4. What is left: in buckets of up to three classes the pairs that join two components (first and last meet everyone
-   there), and in larger buckets from several components all pairs across them. Those buckets are cut into blocks that
-   hold registers and full sets; blocks are compared pairwise in parallel, so no bucket meets in one task and none is
-   capped. A pair is looked at in the first band that it shares, and a block pair gives links only between components
-   that it has not linked yet, so far fewer rows come out than there are pairs.
-5. A pair's similarity is estimated from its registers, corrected for chance collisions; pairs clearly below the
-   threshold go, and the others are confirmed on their full shingle sets (40 bits of each hash).
+   there), and in larger buckets from several components all links across them. Those buckets are cut into blocks of full
+   sets of about BLOCK_BYTES each; every two blocks are one row, dealt on its own, and are compared at once by a product of
+   0/1 matrices, which is exact. A pair of blocks gives one link for each two components that it joins, so far fewer rows
+   come out than there are pairs, and none is capped.
+5. The similarity of a pair from step 3 is estimated from its registers, corrected for chance collisions; pairs clearly
+   below the threshold go, and the others are confirmed on their full sets of 64-bit hashes (two different shingles share
+   one with a chance of 2e-11 even between two sets of 20,000).
 
-Components are found by alternating large-star and small-star steps over tables in the shared folder; nothing is
-collected to the driver.
+Components are found by alternating large-star and small-star steps over tables in the shared folder, hubs of any
+size included; nothing is collected to the driver.
 
 Defined results: null texts and texts without words have the empty set, link with nothing and are kept; a text of one
-to four words is one shingle; equal rows are one class; rows with a null doc_id are their own component with a null
-id and are kept; an empty table gives no rows; other columns are not read; whole texts are used.
+to four words is one shingle; equal rows are one class; rows that share an id are told apart by their sets; rows with a null
+doc_id are their own component with a null id and are kept; texts just at the threshold are linked; an empty table gives
+no rows; other columns are not read; whole texts are used, however long.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, table, text_bytes
+from .common import bounded_broadcast, limit, scratch, skew_join, table, text_bytes
 
 WORDS = 5
 BUCKETS, MANTISSA = 256, 10
@@ -42,7 +47,8 @@ MISSED = 1e-6
 MOST_BROADCAST = 1_000_000
 #: Estimates this many standard deviations below the threshold are dropped unconfirmed.
 DEVIATIONS = 4.5
-BLOCK = 128
+#: Bytes of sets in a block, and cells of a matrix that compares two of them.
+BLOCK_BYTES, CELLS = 1 << 20, 1 << 22
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -148,25 +154,40 @@ def cut(threshold: float, either: np.ndarray | float) -> np.ndarray:
     return threshold - DEVIATIONS * np.sqrt(threshold * (1 - threshold) / np.maximum(either, 1))
 
 
-def _sign(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _signature(text: bytes) -> tuple[np.ndarray, int, int]:
+    """The set of a text, and its digest in two whole numbers."""
+    u = shingles(text)
+    k1, k2 = np.frombuffer(hashlib.blake2b(u.tobytes(), digest_size=16).digest(), np.int64)
+    return u, int(k1), int(k2)
+
+
+def digest(text: Column) -> Column:
+    """n, k1, k2 of a text: the size of its set, and the digest that equal sets share."""
+
+    @F.pandas_udf("n long, k1 long, k2 long")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        got = [_signature(t) for t in texts]
+        return pd.DataFrame({"n": [len(u) for u, _, _ in got], "k1": [k for _, k, _ in got], "k2": [k for _, _, k in got]}, dtype="int64")
+
+    return of(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
+def _sign(docs: DataFrame) -> DataFrame:
     schema = "doc_id long, n long, k1 long, k2 long, regs binary"
 
     def run(batches):
-        import hashlib
-
         import pyarrow as pa
 
         for b in batches:
             rows = []
             for k, t in zip(b.column(0), b.column(1), strict=True):
-                u = shingles(t.as_py())
-                k1, k2 = np.frombuffer(hashlib.blake2b(u.tobytes(), digest_size=16).digest(), np.int64)
-                rows.append((k.as_py(), len(u), int(k1), int(k2), registers(u).tobytes() if len(u) else None))
+                u, k1, k2 = _signature(t.as_py())
+                rows.append((k.as_py(), len(u), k1, k2, registers(u).tobytes() if len(u) else None))
             kinds = [pa.int64()] * 4 + [pa.binary()]
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), text_bytes(text).alias("t")).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def _bands(classes: DataFrame, threshold: float) -> DataFrame:
@@ -184,7 +205,7 @@ def _bands(classes: DataFrame, threshold: float) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """id, comp (the smallest id it is connected with) for every end of the edges a, b."""
+    """id, comp (the smallest id it is connected with) for every end of the edges a, b. A hub may have any number of edges."""
     e = table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
     seen = None
     while True:
@@ -192,32 +213,39 @@ def components(edges: DataFrame) -> DataFrame:
         if not state[0] or tuple(state) == seen:
             break
         seen = tuple(state)
-        # large star: every larger neighbour of u is tied to u's smallest neighbour
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-        big = e.join(least, F.col("v") == F.col("x")).select("u", F.col("m").alias("v")).distinct()
-        # small star: every smaller neighbour of u, and u itself, is tied to the smallest of them
-        big = table(big.where("u <> v"), "star")
-        low = big.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m")
-        small = big.join(low, F.col("u") == F.col("x"))
-        pairs = F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("p")
-        e = table(small.select(pairs).select("p.u", "p.v").where("u <> v").distinct(), "edges")
+        with scratch(edges.sparkSession) as keep:
+            # large star: every larger neighbour of u is tied to u's smallest neighbour
+            both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
+            big = skew_join(e, table(least, "least"), ["v"], n=state[0]).select("u", F.col("m").alias("v")).distinct()
+            # small star: every smaller neighbour of u, and u itself, is tied to the smallest of them
+            big = table(big.where("u <> v"), "star")
+            small = skew_join(big, table(big.groupBy("u").agg(F.min("v").alias("m")), "low"), ["u"])
+            pairs = F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("p")
+            e = keep(table(small.select(pairs).select("p.u", "p.v").where("u <> v").distinct(), "edges"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(e.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
 
 
 class Finder:
+    """docs: a table with columns of the names key and text. A class is a distinct set; rep numbers it."""
+
     def __init__(self, docs: DataFrame, threshold: float, key: str, text: str):
         self.docs = docs.select(F.col(key).cast("long").alias("doc_id"), text_bytes(text).alias("t"))
         self.threshold = threshold
-        self.signed = table(_sign(docs, key, text), "signed")
-        filled = self.signed.where("n > 0 and doc_id is not null")
-        self.classes = table(filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")), "classes")
+        self.signed = table(_sign(self.docs), "signed")
+        self.filled = self.signed.where("n > 0 and doc_id is not null")
+        self.repeats = bool(self.filled.groupBy("doc_id").count().where("count > 1").limit(1).count())
+        own = self.filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("regs").alias("regs"))
+        self.classes = table(own.withColumn("rep", F.monotonically_increasing_id()), "classes")
+        self.n = self.filled.count()
+        self._groups: DataFrame | None = None
 
     def links(self) -> DataFrame:
         """Confirmed links a, b between classes, enough of them to connect every component."""
-        bands = _bands(self.classes, self.threshold)
+        bands = table(_bands(self.classes, self.threshold), "bands")
         ends = bands.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
-        met = table(bands.join(ends, "band"), "met")
+        ends, many = table(ends, "ends"), limit(bands.count())
+        met = table(skew_join(bands, ends, ["band"], hot=ends.where(F.col("c") > many).select("band")), "met")
         two = F.explode(F.array(F.col("lo"), F.col("hi"))).alias("o")
         pairs = met.select("rep", "c", two).where("rep <> o").groupBy(F.least("rep", "o").alias("a"), F.greatest("rep", "o").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.min("c").alias("c"))
         pairs = table(pairs, "pairs")
@@ -229,48 +257,51 @@ class Finder:
         of = table(components(sure), "components")
 
         def with_component(df: DataFrame, column: str, name: str) -> DataFrame:
+            # no class is here more often than it has bands
             j = df.join(of.select(F.col("id").alias("_id"), F.col("comp").alias("_comp")), F.col(column) == F.col("_id"), "left")
             return j.withColumn(name, F.coalesce("_comp", column)).drop("_id", "_comp")
 
         small = pairs.where("c < 4").select("a", "b").join(first, ["a", "b"], "left_anti")
         across = with_component(with_component(small, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
         members = with_component(met.where("c >= 4").select("band", "rep", "c"), "rep", "comp")
-        mixed = members.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("band")
-        rest = self.blocks(table(members.join(mixed, "band", "left_semi"), "mixed"))
+        members = table(members.join(self.classes.select("rep", "n"), "rep"), "members")
+        mixed = members.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum(8 * F.col("n")).alias("bytes")).where("x < y")
+        mixed = table(mixed.select("band", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int").alias("chunks")), "mixed")
+        hot = members.where(F.col("c") > limit(members.count())).select("band").distinct()
+        rest = self.blocks(table(skew_join(members, mixed, ["band"], hot=hot).select("band", "rep", "comp", "chunks"), "apart"))
         return sure.union(self.confirmed(table(across, "across"))).union(rest)
 
     def blocks(self, members: DataFrame) -> DataFrame:
-        """Confirmed links a, b across the components of each bucket. members: band, rep, c, comp."""
+        """Confirmed links a, b across the components of each bucket. members: band, rep, comp, chunks."""
         threshold = self.threshold
-        ids = table(members.select(F.col("rep").alias("id")).distinct(), "ids")
-        sets = table(self._sets(bounded_broadcast(ids, ids.count(), MOST_BROADCAST)), "sets").select(F.col("doc_id").alias("_doc"), "u")
-        chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / BLOCK)).cast("long")
-        regs = self.classes.select(F.col("rep").alias("_rep"), "regs")
-        rows = members.join(regs, F.col("rep") == F.col("_rep")).join(sets, F.col("rep") == F.col("_doc"))
-        held = table(rows.groupBy("band", chunk.alias("chunk")).agg(F.collect_list(F.struct("rep", "comp", "regs", "u")).alias("ms")), "blocks")
-        left = held.select("band", F.col("chunk").alias("i"), F.col("ms").alias("l"))
-        right = held.select(F.col("band").alias("band2"), F.col("chunk").alias("j"), F.col("ms").alias("r"))
-        both = left.join(right, (F.col("band") == F.col("band2")) & (F.col("i") <= F.col("j"))).select("band", "l", "r")
+        sets = self.sets(members.select("rep").distinct())
+        chunk = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
+        rows = members.join(sets, "rep").groupBy("band", "chunks", chunk.alias("chunk")).agg(F.collect_list(F.struct("rep", "comp", "u")).alias("ms"))
+        held = table(rows, "blocks")
+        # a block goes to each pair that it is in, so the pairs of one bucket are spread over all tasks
+        left = held.select("band", F.col("chunk").alias("i"), F.explode(F.sequence(F.col("chunk"), F.col("chunks") - 1)).alias("j"), F.col("ms").alias("l"))
+        right = held.select("band", F.explode(F.sequence(F.lit(0), F.col("chunk"))).alias("i"), F.col("chunk").alias("j"), F.col("ms").alias("r"))
+        both = left.join(right, ["band", "i", "j"]).select("l", "r")
 
         def run(batches):
             import pyarrow as pa
 
             for b in batches:
-                out: list[tuple[int, int]] = []
-                for band, l, r in zip(*(b.column(i) for i in range(3)), strict=True):
-                    out += _linked(band.as_py(), l.as_py(), r.as_py(), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in out], pa.int64()), pa.array([max(x) for x in out], pa.int64())], names=["a", "b"])
+                for l, r in zip(b.column(0), b.column(1), strict=True):
+                    out = _linked(l.as_py(), r.as_py(), threshold)
+                    yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in out], pa.int64()), pa.array([max(x) for x in out], pa.int64())], names=["a", "b"])
 
         return table(both.mapInArrow(run, "a long, b long").distinct(), "links")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs a, b those whose full sets are similar enough."""
+        """Of the pairs a, b (a table) those whose full sets are similar enough."""
         threshold = self.threshold
         regs = self.classes.select("rep", "n", "regs")
-        a = regs.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
-        b = regs.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
+        side = lambda x, *columns: regs.select(F.col("rep").alias(x), *[F.col(c).alias(c[0] + x) for c in columns])
+        half = skew_join(pairs, side("a", "n", "regs"), ["a"])
+        sized = skew_join(table(half, "half"), side("b", "n", "regs"), ["b"])
         # sets whose sizes differ by more cannot be similar enough
-        sized = pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") >= F.lit(threshold - 1e-9) * F.greatest("na", "nb"))
+        sized = sized.where(F.least("na", "nb") >= F.lit(threshold - 1e-9) * F.greatest("na", "nb"))
 
         def likely(batches):
             import pyarrow as pa
@@ -283,34 +314,58 @@ class Finder:
                 yield pa.RecordBatch.from_arrays([t.column("a").filter(pa.array(keep, pa.bool_())), t.column("b").filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
 
         good = table(sized.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(likely, "a long, b long"), "likely")
-        ids = table(good.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-        sets = table(self._sets(bounded_broadcast(ids, ids.count(), MOST_BROADCAST)), "sets")
-        sa = sets.select(F.col("doc_id").alias("a"), F.col("u").alias("ua"))
-        sb = sets.select(F.col("doc_id").alias("b"), F.col("u").alias("ub"))
+        sets = self.sets(good.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
+        half = table(skew_join(good, sets.select(F.col("rep").alias("a"), F.col("u").alias("ua")), ["a"]), "half")
+        whole = skew_join(half, sets.select(F.col("rep").alias("b"), F.col("u").alias("ub")), ["b"])
 
         def check(batches):
             import pyarrow as pa
 
             for t in batches:
-                keep = []
-                for x, y in zip(t.column("ua").to_pylist(), t.column("ub").to_pylist(), strict=True):
-                    keep.append(_similar(_unpacked(x), _unpacked(y), threshold))
+                keep = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), threshold) for x, y in zip(t.column("ua"), t.column("ub"), strict=True)]
                 k = pa.array(keep, pa.bool_())
                 yield pa.RecordBatch.from_arrays([t.column("a").filter(k), t.column("b").filter(k)], names=["a", "b"])
 
-        return table(good.join(sa, "a").join(sb, "b").select("a", "b", "ua", "ub").mapInArrow(check, "a long, b long").distinct(), "links")
+        return table(whole.select("a", "b", "ua", "ub").mapInArrow(check, "a long, b long").distinct(), "links")
 
-    def _sets(self, ids: DataFrame) -> DataFrame:
-        """doc_id, u: the shingle sets of these documents, 5 bytes a hash."""
+    def sets(self, reps: DataFrame) -> DataFrame:
+        """rep, u: the full sets (64-bit hashes, ascending) of these classes, one row each."""
 
         def run(batches):
             import pyarrow as pa
 
             for b in batches:
-                u = [np.unique(shingles(t.as_py()) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for t in b.column(1)]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(u, pa.binary())], names=["doc_id", "u"])
-
-        return self.docs.join(ids, self.docs["doc_id"] == ids["id"], "left_semi").mapInArrow(run, "doc_id long, u binary")
+                reps, sets = [], []
+                for rep, k1, k2, t in zip(*(b.column(c) for c in ("rep", "k1", "k2", "t")), strict=True):
+                    u, a, c = _signature(t.as_py())
+                    if (a, c) == (k1.as_py(), k2.as_py()):  # another text may have the same id
+                        reps.append(rep.as_py())
+                        sets.append(u.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sets, pa.binary())], names=["rep", "u"])
+
+        wanted = table(self.classes.join(reps, "rep", "left_semi").select("rep", "k1", "k2", F.col("doc").alias("doc_id")), "wanted")
+        met = self.docs.join(bounded_broadcast(wanted, wanted.count(), MOST_BROADCAST), "doc_id")
+        got = met.mapInArrow(run, "rep long, u binary")
+        return table(got.groupBy("rep").agg(F.first("u").alias("u")) if self.repeats else got, "sets")
+
+    def groups(self) -> DataFrame:
+        """k1, k2, component_id: for every class the smallest id of a document that it is connected with."""
+        if self._groups is None:
+            with scratch(self.docs.sparkSession) as keep:
+                of = components(self.links()).select(F.col("id").alias("rep"), "comp")
+                named = table(self.classes.select("k1", "k2", "rep", "doc").join(of, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "named")
+                least = table(named.groupBy("comp").agg(F.min("doc").alias("component_id")), "least")
+                self._groups = keep(table(skew_join(named, least, ["comp"]).select("k1", "k2", "component_id"), "groups"))
+        return self._groups
+
+    def rows(self) -> DataFrame:
+        """doc_id, n_shingles, k1, k2, component_id, kept for every row of docs."""
+        groups, rest = self.groups(), self.signed.where("n = 0 or doc_id is null")
+        hot = self.classes.where(F.col("copies") > limit(self.n)).select("k1", "k2")
+        found = skew_join(self.filled.select("doc_id", "n", "k1", "k2"), groups, ["k1", "k2"], hot=hot)
+        rest = rest.select("doc_id", "n", "k1", "k2", F.col("doc_id").alias("component_id"))
+        out = found.select(*rest.columns).unionByName(rest).withColumnRenamed("n", "n_shingles")
+        return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def _similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
@@ -320,7 +375,30 @@ def _similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
     return both >= threshold * (len(x) + len(y) - both) - 1e-9
 
 
-def _linked(band: int, left: list[dict], right: list[dict], threshold: float) -> list[tuple[int, int]]:
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set on the left shares with each on the right: products of 0/1 matrices, column by column."""
+    flat = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (left, right)]
+    common = np.intersect1d(np.unique(flat[0][0]), np.unique(flat[1][0]))
+    out = np.zeros((len(left), len(right)), np.float32)
+    width = max(256, CELLS // max(len(left), len(right)))
+    placed = []
+    for values, row in flat:
+        at = np.searchsorted(common, values)
+        hit = common[np.minimum(at, len(common) - 1)] == values if len(common) else np.zeros(len(values), bool)
+        order = np.argsort(at[hit], kind="stable")
+        placed.append((at[hit][order], row[hit][order]))
+    for lo in range(0, len(common), width):
+        m = []
+        for (at, row), s in zip(placed, (left, right), strict=True):
+            i, j = np.searchsorted(at, (lo, lo + width))
+            x = np.zeros((len(s), min(width, len(common) - lo)), np.float32)
+            x[row[i:j], at[i:j] - lo] = 1
+            m.append(x)
+        out += m[0] @ m[1].T
+    return out
+
+
+def _linked(left: list[dict], right: list[dict], threshold: float) -> list[tuple[int, int]]:
     """Links between members of two blocks of a bucket, at most one for each two components joined here."""
     parent: dict[int, int] = {}
 
@@ -330,39 +408,22 @@ def _linked(band: int, left: list[dict], right: list[dict], threshold: float) ->
             c = p
         return c
 
-    def opened(ms: list[dict]):
-        r = np.stack([np.frombuffer(m["regs"], np.uint16) for m in ms])
-        return r, band_keys(r, threshold), [_unpacked(m["u"]) for m in ms]
-
-    (lr, lk, ls), (rr, rk, rs) = opened(left), opened(right)
-    at = int(np.flatnonzero(lk[0] == band)[0])
-    comps = np.asarray([m["comp"] for m in right])
+    ls, rs = ([np.frombuffer(m["u"], np.uint64) for m in ms] for ms in (left, right))
+    lc, rc = (np.asarray([m["comp"] for m in ms]) for ms in (left, right))
+    if lc.min() == lc.max() == rc.min() == rc.max():
+        return []
+    both = _overlaps(ls, rs).astype(np.float64)
+    every = np.asarray([len(s) for s in ls])[:, None] + np.asarray([len(s) for s in rs])[None, :] - both
+    near = (both >= threshold * every - 1e-9) & (lc[:, None] != rc[None, :])
     out = []
-    for i, m in enumerate(left):
-        # the first band that the two share is this one
-        near = (comps != m["comp"]) & ~(rk[:, :at] == lk[i, :at]).any(1)
-        for j in np.flatnonzero(near).tolist():
-            if root(m["comp"]) == root(right[j]["comp"]):
-                continue
-            either = ((rr[j] > 0) | (lr[i] > 0)).sum()
-            if ((rr[j] == lr[i]) & (rr[j] > 0)).sum() < cut(threshold, either) * either:
-                continue
-            if _similar(ls[i], rs[j], threshold):
-                parent[root(m["comp"])] = root(right[j]["comp"])
-                out.append((m["rep"], right[j]["rep"]))
+    for i, j in np.argwhere(near).tolist():
+        a, b = root(int(lc[i])), root(int(rc[j]))
+        if a != b:
+            parent[a] = b
+            out.append((left[i]["rep"], right[j]["rep"]))
     return out
 
 
-def _unpacked(packed: bytes) -> np.ndarray:
-    five = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-    return np.hstack([five, np.zeros((len(five), 3), np.uint8)]).view("<u8").ravel()
-
-
-def find(docs: DataFrame, threshold: float = 0.85, key: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
-    f = Finder(docs, threshold, key, text)
-    of = components(f.links()).select(F.col("id").alias("rep"), "comp")
-    groups = f.classes.select("k1", "k2", "rep").join(of, "rep", "left").select("k1", "k2", F.coalesce("comp", "rep").alias("comp"))
-    out = f.signed.select("doc_id", "n", "k1", "k2").join(groups, ["k1", "k2"], "left")
-    comp = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("comp")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return Finder(docs, threshold, key, text).rows().drop("k1", "k2")

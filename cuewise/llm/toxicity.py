@@ -1,21 +1,25 @@
 """Toxicity: a learned lexicon, met with Levenshtein automata, and scores of the words around each hit.
 
-The lexicon holds words and stems (heads of 4 to 8 letters) that labelled toxic texts hold and others do not, by the
-lower end of Wilson's interval, so that rare words of a few copied texts stay out. It is kept as a trie. A word is
-looked up by walking the trie and the word's Levenshtein automaton together: a state is the row of edit distances
-so far, branches whose least distance is above the limit are cut, and a stem may end anywhere in the word. The
-limit is 0 edits for words under 5 letters, 1 up to 8, and 2 beyond, and for stems one less; the first letter is
-never edited. Hits with edits count on their own.
+The lexicon holds words and, beside them, stems (heads of 4 to 10 letters) that labelled toxic texts hold and others
+do not, by the lower end of Wilson's interval and beyond what chance gives among so many words; as many as pass that test.
+It is kept as a trie. A word is looked up by walking the trie and the word's Levenshtein automaton together: a state
+is the row of edit distances so far, branches whose least distance is above the limit are cut, and a stem may end anywhere
+in the word. The limit is 0 edits for words under 5 letters, 1 up to 8, and 2 beyond, and for stems one less; the
+first letter is never edited. Hits with edits are a feature of their own, whose weight is learned: it starts from that of
+exact hits and leaves it as far as the labelled texts say.
 
 Around each hit, `window` words to either side say whether it is quoted or spoken about (quotation marks, words like
 "said" or "word") or part of abuse (other hits, a second person). Those shares, the sums of the
 weights of the entries hit, and their density are the features of a logistic regression.
 
-Labels are read from a sample bounded by `per_label` rows of each label, drawn by hash from the rows that the caller
-has cut off from held-out ones; scoring reads whole texts and nothing else.
+Labels are read from at most `per_label` documents of each label (those with the smallest hashes of their ids) among the
+rows that the caller has cut off from held-out ones; scoring reads whole texts and nothing else.
 
 Defined results: null and empty texts have no hits and get the score of such texts; rows without a label are scored
-like others; without any label every score is 0; an empty table gives no rows; other columns are not read.
+like others; without any label 1 every score is 0; a label row that is repeated counts once; an id, or a text, that has
+both labels is not learned from; copies of a text count once; words and texts of any length are met whole; of entries
+with equally few edits the first of the lexicon wins; equal rows get equal scores; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -28,15 +32,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PER_LABEL = 3000
-MOST_ENTRIES = 2000
 WINDOW = 6
-HEADS = range(4, 9)
-#: Log-odds from which on an entry is also met with edits.
-SURE = 2.0
+HEADS = range(4, 11)
+#: An entry is tested if so many toxic texts hold it.
+LEAST_TEXTS = 4
 
 # Marks and words that quote, and words that address someone, in the languages at hand.
 QUOTES = "\"'“”„«»‘’‹›"
@@ -51,19 +54,21 @@ def limit(length: int) -> int:
 
 
 class Lexicon:
-    """A trie of words and of stems (entries that end in *). Entries of less weight than SURE are met exactly or not at all."""
+    """A trie of words and of stems (entries that end in *)."""
 
-    def __init__(self, entries: list[str], weights: np.ndarray | None = None):
+    def __init__(self, entries: list[str]):
         self.entries = list(entries)
+        #: No entry meets more letters than this, so a longer word gives the same answer as its head.
+        self.reach = max(map(len, self.entries), default=0) + 3
         self.root: dict = {}
         for at, e in enumerate(self.entries):
-            node, sure = self.root, weights is None or weights[at] >= SURE
+            node = self.root
             for c in e.rstrip("*"):
                 node = node.setdefault(c, {})
             if e.endswith("*"):
-                node["*"] = (max(0, limit(len(e) - 1) - 1) * sure, at)
+                node["*"] = (max(0, limit(len(e) - 1) - 1), at)
             else:
-                node["$"] = (limit(len(e)) * sure, at)
+                node["$"] = (limit(len(e)), at)
         for node in self.root.values():
             self._bound(node)
 
@@ -91,6 +96,7 @@ class Lexicon:
 
     def find(self, word: str) -> tuple[int, int] | None:
         """Edits to the nearest entry within its limit, and its place; the first letter must be the entry's own."""
+        word = word[: self.reach]
         if not word or (node := self.root.get(word[0])) is None:
             return None
         if not node[""]:
@@ -140,9 +146,9 @@ class Hits(dict):
         if len(self) >= self.most:
             self.clear()
         text = word.decode("utf-8", "replace").lower()
-        found = [self.lexicon.find(w[:64]) for w in _LETTERS.findall(text)]
+        found = [self.lexicon.find(w) for w in _LETTERS.findall(text)]
         if _MIXED.search(text):
-            found += [self.lexicon.find(w[:64]) for w in _LETTERS.findall(text.translate(_LOOKALIKES))]
+            found += [self.lexicon.find(w) for w in _LETTERS.findall(text.translate(_LOOKALIKES))]
         near = [f for f in found if f]
         out = 2 * min(near)[1] + 2 + (min(near)[0] > 0) if near else 0
         self[word] = out
@@ -201,11 +207,22 @@ def _low(n: int, of: int) -> float:
     return (p + z * z / (2 * of) - z * math.sqrt(p * (1 - p) / of + z * z / (4 * of * of))) / (1 + z * z / of)
 
 
-def choose(counts: list[tuple[str, int, int]], toxic: int, least_share: float = 0.01) -> list[tuple[str, float]]:
-    """counts: (word or stem with *, toxic texts, other texts). Each entry has the log-odds of its Wilson bound as its
-    weight. Stems that say the same as a longer one go."""
-    need = max(4, least_share * toxic)
-    odds = {e: math.log(p / (1 - p)) for e, n, m in counts if n >= need and (p := _low(n, n + m)) >= 0.55}
+def _chance(n: int, of: int, rate: float) -> float:
+    """Chernoff's bound on the logarithm of the chance that n or more of so many texts are toxic at this rate."""
+    p = n / of
+    return -of * (p * math.log(p / rate) + ((1 - p) * math.log((1 - p) / (1 - rate)) if p < 1 else 0)) if p > rate else 0.0
+
+
+def choose(counts: list[tuple[str, int, int]], toxic: int, other: int, least_share: float = 0.01) -> list[tuple[str, float]]:
+    """counts: (word or stem with *, toxic texts, other texts), all with at least least_share of the toxic texts.
+
+    Chosen is what toxic texts hold more often than chance allows at the 5 % level over all entries tested, and mostly (by
+    Wilson's bound). An entry's weight is the log-odds of that bound. Of stems that say the same the longest stays; words
+    stay beside their stems, as they allow more edits."""
+    tested = [(e, n, m) for e, n, m in counts if n >= max(LEAST_TEXTS, least_share * toxic)]
+    rate = min(0.5, toxic / max(toxic + other, 1))
+    sure = math.log(0.05 / max(len(tested), 1))
+    odds = {e: math.log(p / (1 - p)) for e, n, m in tested if (p := _low(n, n + m)) >= 0.55 and _chance(n, n + m, rate) <= sure}
     good = {e: n for e, n, _ in counts if e in odds}
     stems = sorted((e[:-1] for e in good if e.endswith("*")), key=len)
     kept: list[str] = []
@@ -215,16 +232,18 @@ def choose(counts: list[tuple[str, int, int]], toxic: int, least_share: float =
             continue  # its longer form says the same
         if not any(s.startswith(k) for k in kept):
             kept.append(s)
-    words = [e for e in good if not e.endswith("*") and not any(e.startswith(k) for k in kept)]
     # a stem that is a whole word by itself stays a word, so that words merely beginning like it are left alone
-    out = [k if good.get(k, 0) >= 0.9 * good[f"{k}*"] else f"{k}*" for k in kept] + words
+    out = dict.fromkeys(k if good.get(k, 0) >= 0.9 * good[f"{k}*"] else f"{k}*" for k in kept)
+    out |= dict.fromkeys(e for e in good if not e.endswith("*"))
     one = {e: odds.get(e, odds.get(f"{e}*", 0.0)) for e in out}
-    return sorted(((e, min(4.0, w)) for e, w in one.items()), key=lambda x: (-good.get(x[0], 0), x[0]))[:MOST_ENTRIES]
+    return sorted(((e, min(4.0, w)) for e, w in one.items()), key=lambda x: (-good.get(x[0], 0), x[0]))
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression by Newton's method with a small ridge."""
+    """Logistic regression by Newton's method with a small ridge, which draws the weight of hits with edits to that of
+    exact ones and the other weights to 0."""
     x = np.hstack([x, np.ones((len(x), 1))])
+    x[:, 0] += x[:, 1]
     ridge = np.diag([0.3] * (x.shape[1] - 1) + [0.01])
     w = np.zeros(x.shape[1])
     for _ in range(30):
@@ -233,20 +252,20 @@ def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
         w -= step
         if np.abs(step).max() < 1e-6:
             break
+    w[1] += w[0]
     return w[:-1], float(w[-1])
 
 
-def train(rows: DataFrame, text: str = "text", label: str = "toxic", per_label: int = PER_LABEL) -> Model:
-    """rows: labelled rows that may be learned from; label is 0 or 1, others are left out."""
+def train(rows: DataFrame, text: str = "text", label: str = "toxic") -> Model:
+    """rows: labelled rows that may be learned from, a bounded number of documents; label is 0 or 1, others are left out."""
     from .common import table, text_bytes
 
     rows = rows.select(F.col(label).cast("int").alias("y"), text_bytes(text).alias("t")).where(F.col("y").isin(0, 1))
-    size = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    # copies count once: a word of one copied text says little
+    drawn = table(rows.groupBy("t").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select("y", "t"), "labelled")
+    size = {r["y"]: r["count"] for r in drawn.groupBy("y").count().collect()}
     if not size.get(1):
         return Model()
-    share = F.when(F.col("y") == 1, min(1.0, per_label / size[1])).otherwise(min(1.0, per_label / max(size.get(0, 0), 1)))
-    # copies count once: a word of one copied text says little
-    drawn = table(rows.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < share * 1_000_000).groupBy("y", "t").agg(F.count(F.lit(1)).alias("n")), "labelled")
 
     def count(batches):
         import pyarrow as pa
@@ -262,12 +281,12 @@ def train(rows: DataFrame, text: str = "text", label: str = "toxic", per_label:
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([n[1][e] for e in part], pa.int64()), pa.array([n[0][e] for e in part], pa.int64())], names=["e", "n", "m"])
         yield pa.RecordBatch.from_arrays([pa.array([""], pa.string()), pa.array([0], pa.int64()), pa.array([0], pa.int64())], names=["e", "n", "m"])
 
-    toxic = drawn.where("y = 1").count()
+    toxic = size[1]
     counts = drawn.coalesce(1 + len(size)).mapInArrow(count, "e string, n long, m long").groupBy("e").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-    good = counts.where((F.col("n") >= max(4, 0.01 * toxic)) & (F.col("m") <= F.col("n"))).orderBy(F.desc("n"), "e").limit(20 * MOST_ENTRIES).collect()
-    chosen = choose([tuple(r) for r in good], toxic)
+    often = counts.where(F.col("n") >= max(LEAST_TEXTS, 0.01 * toxic)).orderBy(F.desc("n"), "e").collect()
+    chosen = choose([tuple(r) for r in often], toxic, size.get(0, 0))
     entries, of_entries = [e for e, _ in chosen], np.asarray([w for _, w in chosen])
-    lexicon = Lexicon(entries, of_entries)
+    lexicon = Lexicon(entries)
 
     def measure(batches):
         import pyarrow as pa
@@ -288,7 +307,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hits = Hits(Lexicon(model.entries, model.of_entries))
+        hits = Hits(Lexicon(model.entries))
         for texts in batches:
             yield pd.Series([model.score(features(t.split(), hits, model.of_entries)) for t in texts], dtype="float64")
 
@@ -298,10 +317,19 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def rate(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
     """doc_id, held_out, score, predicted. Rows whose crc32(doc_id) leaves 0 by 5 are never learned from."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    own = labels.select("doc_id", "toxic").where(~held & F.col("toxic").isin(0, 1))
-    n = {r["toxic"]: r["count"] for r in own.groupBy("toxic").count().collect()}
-    # cut the labels down by hash first, so that a bounded number of them meets the texts
-    share = F.when(F.col("toxic") == 1, min(1.0, per_label / max(n.get(1, 0), 1))).otherwise(min(1.0, per_label / max(n.get(0, 0), 1)))
-    drawn = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).orderBy(F.xxhash64("doc_id")).limit(4 * per_label)
-    model = train(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), per_label=10 * per_label)
+    drawn = draw(labels.where(~held), per_label)
+    model = train(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"))
     return score(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def draw(labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
+    """doc_id, toxic: at most per_label documents of each label, cut down before they meet the texts."""
+    from .common import table
+
+    own = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
+    own = own.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("z")).where("toxic = z").select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"))
+    n = {r["toxic"]: r["count"] for r in own.groupBy("toxic").count().collect()}
+    share = lambda y: min(1.0, 1.3 * (per_label + 100) / max(n.get(y, 0), 1))
+    near = own.where(F.pmod("h", F.lit(1_000_000)) < F.when(F.col("toxic") == 1, share(1)).otherwise(share(0)) * 1_000_000)
+    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.pmod("h", F.lit(1_000_000)), "h"))
+    return table(near.withColumn("i", rank).where(F.col("i") <= per_label).select("doc_id", "toxic"), "drawn")

@@ -28,7 +28,7 @@ def brute(rows, threshold=0.85):
 
 
 def check(spark, docs_of, rows):
-    got = neardup.find(docs_of(rows)).collect()
+    got = neardup.find(docs_of(rows), 0.85).collect()
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in got) == brute(rows)
 
 
@@ -60,7 +60,7 @@ def test_equals_brute_force(spark, docs_of):
 
 def test_a_large_group_at_the_threshold(spark, docs_of, monkeypatch):
     """Near copies of which each is similar enough to some others only: no link may be lost, nor made."""
-    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 16_000)
     rnd = random.Random(9)
     base = text(rnd, 150)
     check(spark, docs_of, [(i, " ".join(varied(rnd, base, 2 + i % 3))) for i in range(260)] + [(1000 + i, " ".join(base)) for i in range(100)])
