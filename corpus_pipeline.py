@@ -1,66 +1,42 @@
 """The training-data pipeline: documents through language ID, near-dedup, secret scans, mixing and packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each result as Parquet to the shared
-folder and reads it back as the next stage's docs. All but the last return the columns of documents.
+folder and reads it back as the next stage's docs. All but the last return the columns of documents. What a stage makes of
+nulls, empty and very long texts, ties, repeated rows, empty tables and clashing names is said in cuewise.llm.stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cuewise.llm import langid, mixing, neardup, packing, secrets
-from cuewise.llm.common import bounded_broadcast, read, table
+from cuewise.llm import stages
+from cuewise.llm.common import read, scratch, table
 from cuewise.llm.queries import tokenizer_path
 
-#: Ids up to this many (some 8 bytes each) are broadcast; beyond it they are joined by shuffle.
-MOST_BROADCAST = 1_000_000
-#: Texts of this similarity or more are near copies here; op5's contract alone has 0.85.
-NEAR = 0.8
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no letter in the text) go; all others stay as they are."""
-    model = langid.train(docs.where(~F.coalesce(langid.remainder(3) == 1, F.lit(False))))
-    if not model.families:  # nothing was learned, so only the letter counts
-        return docs.where(F.col("text").rlike(r"\p{L}"))
-    marked = langid.predict(docs.withColumn("_row", F.struct(*docs.columns)), model)
-    return marked.where(F.col("lang_pred") != langid.UND).select("_row.*")
+    """Operator 7: documents without a language go, a missing lang is filled in."""
+    return stages.language(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id; of rows with one id, one."""
-    found = table(neardup.find(docs, NEAR).select("doc_id", "kept"), "dedup")
-    gone = table(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count()
-    kept = docs.join(bounded_broadcast(gone, gone.count(), MOST_BROADCAST), F.col("doc_id") == F.col("_gone"), "left_anti")
-    if not repeated:
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    """Operator 5: one document of each group of near copies stays."""
+    return stages.near_dedup(docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret in a text is replaced by a mark; n_chars follows the text."""
-    out = secrets.redact(docs)
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
+    """Operator 4: secrets give way to a mark."""
+    return stages.secret_scan(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it, 0 to 3 times."""
-    sized = table(mixing.sized(docs), "sizes")
-    plan = mixing.plan(sized)
-    n = plan.count()
-    own = docs.withColumn("_h", mixing.hashed(F.col("doc_id")))
-    met = own.join(bounded_broadcast(plan, n, mixing.MOST_BROADCAST), F.col("source").eqNullSafe(F.col("_source")))
-    copies = mixing.copies(F.col("_whole"), F.col("_h"), F.col("_last"))
-    words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(mixing.WORD_PATTERN))
-    taken = met.withColumn("_n", F.when(words > 0, copies).otherwise(0)).where("_n > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    """Operator 2: each document as many times as the mix takes it."""
+    return stages.mix(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences; see packing.pack."""
-    return packing.pack(docs, tokenizer_path())
+    """Operator 1: the pieces of all sequences."""
+    return stages.pack(docs, tokenizer_path())
 
 
 STAGES = [
@@ -75,7 +51,8 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = table(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as keep:  # what a stage has written beside its result goes
+            docs = keep(table(stage(spark, docs, sf_dir), name))
     return docs
 
 
