@@ -2,33 +2,41 @@
 
 A recording (samples at RATE) becomes frames of energy by pitch class. Sixteen filters compare rectangles of the frames,
 read off an integral image; each answer is cut into four grades, Gray-coded in two bits, so every position gives one
-packed 32-bit integer. Two recordings are aligned by the offset at which most of their keys (two integers eight
-positions apart) agree, and confirmed by the share of differing bits over the whole overlap at that offset.
+packed 32-bit integer. All recordings are indexed by their keys, pairs of neighbouring integers, each distinct
+key of a recording once. A query is fingerprinted at PHASES starts within one hop, so that one of them is within 4 samples
+of the frames of any recording that it was cut from. Two recordings are candidates at every offset at which a key agrees;
+the votes of an offset are its histogram. Each candidate offset is verified by the share of differing bits in its
+best stretch of STRETCH integers, or in the whole overlap if that is shorter, and all recordings that pass are links.
 
 The driver's tables hold no audio. `render` stands in for it: every word of a text is a tone of one hop whose pitch class
-is a hash of the word, so equal passages sound alike. `fingerprint` takes samples from anywhere.
+is a hash of the word, so equal passages sound alike. `wav` reads files, and `fingerprint` takes samples from anywhere.
 
 Defined results: null samples or texts without words give no integers and match nothing; recordings shorter than the
-widest filter are padded with silence and give one integer; equal recordings are folded into one class before
-anything is joined, and a query matches its class's other members through that class only; an empty table gives no rows;
-other columns are not read. Of recordings with equally many agreeing keys the smallest class wins.
+widest filter are padded with silence and give one integer; recordings with equal integers are folded into one class before
+anything is joined, whatever their ids (null or repeated ones included), and links are between classes; overlaps of fewer
+than LEAST integers link nothing; recordings of any length are read whole; of links of one query with equal errors the
+one with the smaller class comes first; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
+import io
+import wave
 import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_bytes
+from .common import limit, skew_join, table, text_bytes
 
 RATE, HOP, FRAME = 4096, 128, 256
-WIDEST, STEP = 16, 8
-#: Integers of unrelated recordings differ in half of their bits.
-MOST_ERRORS = 0.25
+WIDEST, PHASES = 16, 16
+#: Integers of unrelated recordings differ in half of their bits, and in no stretch in fewer than 0.32.
+MOST_ERRORS, STRETCH, LEAST = 0.25, 24, 8
+#: Heavy keys of the index are dealt to so many tasks, and the queries that hold them go to each.
+SALTS = 64
 CUTS = (-0.4, 0.0, 0.4)
 GRAY = np.asarray([0, 1, 3, 2], np.uint32)
 #: Filters by rule: kind (over time, over pitch, both, centre against flanks), lowest pitch class, height, width.
@@ -98,95 +106,155 @@ def codes(frames: np.ndarray) -> np.ndarray:
     return out
 
 
+def wav(content: bytes) -> np.ndarray:
+    """Samples at RATE of a WAV file (8, 16 or 32 bits, any number of channels), by linear interpolation."""
+    with wave.open(io.BytesIO(content)) as f:
+        width, channels, rate, raw = f.getsampwidth(), f.getnchannels(), f.getframerate(), f.readframes(f.getnframes())
+    kind, zero, full = {1: ("u1", 128, 128), 2: ("<i2", 0, 1 << 15), 4: ("<i4", 0, 1 << 31)}[width]
+    x = (np.frombuffer(raw, kind).astype(np.float64).reshape(-1, channels).mean(1) - zero) / full
+    if rate > RATE:  # average over a sample's length first, against aliases
+        n = rate // RATE
+        x = np.convolve(x, np.ones(n) / n, "same") if len(x) else x
+    return np.interp(np.arange(len(x) * RATE // rate) * rate / RATE, np.arange(len(x)), x).astype(np.float32) if len(x) else x.astype(np.float32)
+
+
 def keys(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit keys of two integers STEP positions apart, and their places; a key that repeats the one before is left out."""
+    """The distinct 64-bit keys of two integers in a row (the last one pairs with itself), and their first places."""
     if not len(c):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    n = max(1, len(c) - STEP)
-    later = c[STEP:] if len(c) > STEP else c[-1:]
-    k = ((c[:n].astype(np.uint64) << np.uint64(32)) | later[:n]).view(np.int64)
-    at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    return k[at], at
+    later = np.concatenate([c[1:], c[-1:]]) if len(c) == 1 else c[1:]
+    k = ((c[: len(later)].astype(np.uint64) << np.uint64(32)) | later).view(np.int64)
+    return np.unique(k, return_index=True)
 
 
 def bit_errors(a: np.ndarray, b: np.ndarray, offset: int) -> float:
-    """The share of differing bits where b, shifted by offset, overlaps a; 1 without overlap."""
+    """The share of differing bits in the best stretch where b, shifted by offset, overlaps a; 1 without enough overlap."""
     lo, hi = max(0, offset), min(len(a), len(b) + offset)
-    if hi <= lo:
+    if hi - lo < LEAST:
         return 1.0
-    return float(np.bitwise_count(a[lo:hi] ^ b[lo - offset : hi - offset]).sum()) / (32 * (hi - lo))
+    n = min(STRETCH, hi - lo)
+    upto = np.concatenate([[0], np.cumsum(np.bitwise_count(a[lo:hi] ^ b[lo - offset : hi - offset]), dtype=np.int64)])
+    return float((upto[n:] - upto[:-n]).min()) / (32 * n)
+
 
+def phases(samples: np.ndarray) -> list[np.ndarray]:
+    """The integers of a recording from PHASES starts within its first hop."""
+    return [codes(chroma(samples[p * HOP // PHASES :])) for p in range(PHASES)]
 
-def fingerprint(recordings: DataFrame, keep: list[str], samples: str, convert=None) -> DataFrame:
-    """keep, n_codes, codes_crc32, codes (little-endian unsigned 32-bit). samples: little-endian 32-bit floats, or what
-    convert turns into them."""
-    schema = ", ".join([*(f"`{k}` {recordings.schema[k].dataType.simpleString()}" for k in keep), "n_codes long, codes_crc32 long, codes binary"])
+
+def fingerprint(recordings: DataFrame, keep: list[str], samples: str, convert=None, query=None) -> DataFrame:
+    """keep, n_codes, codes_crc32, codes (little-endian unsigned 32-bit), phases (an array of such, only where query, a
+    column, is true). samples: little-endian 32-bit floats, or what convert turns into them (wav does)."""
+    schema = ", ".join([*(f"`{k}` {recordings.schema[k].dataType.simpleString()}" for k in keep), "n_codes long, codes_crc32 long, codes binary, phases array<binary>"])
 
     def run(batches):
         import pyarrow as pa
 
+        packed = lambda x: x.astype("<u4").tobytes()
         for b in batches:
-            got = []
-            for x in b.column("_samples"):
-                raw = x.as_py() or b""
-                got.append(codes(chroma(convert(raw) if convert else np.frombuffer(raw, "<f4"))).astype("<u4").tobytes())
-            columns = [pa.array([len(c) // 4 for c in got], pa.int64()), pa.array([zlib.crc32(c) for c in got], pa.int64()), pa.array(got, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *columns], names=[*keep, "n_codes", "codes_crc32", "codes"])
+            got, every = [], []
+            for x, q in zip(b.column("_samples"), b.column("_query").to_pylist(), strict=True):
+                raw = x.as_py()
+                own = np.zeros(0, np.float32) if not raw else convert(raw) if convert else np.frombuffer(raw, "<f4")
+                if q and len(own):
+                    every.append(list(map(packed, phases(own))))
+                    got.append(every[-1][0])
+                else:
+                    every.append(None)
+                    got.append(packed(codes(chroma(own))))
+            columns = [pa.array([len(c) // 4 for c in got], pa.int64()), pa.array([zlib.crc32(c) for c in got], pa.int64()), pa.array(got, pa.binary()), pa.array(every, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), *columns], names=[*keep, "n_codes", "codes_crc32", "codes", "phases"])
 
-    return recordings.select(*keep, F.col(samples).alias("_samples")).mapInArrow(run, schema)
+    asked = F.lit(False) if query is None else F.coalesce(query, F.lit(False))
+    return recordings.select(*keep, F.col(samples).alias("_samples"), asked.alias("_query")).mapInArrow(run, schema)
 
 
-def align(prints: DataFrame, id: str, is_query) -> DataFrame:
-    """For every row the class of equal recordings; for query rows also the best aligned other class.
+INDEX = "c long, k long, at long"
 
-    prints: the output of fingerprint with a unique id. Classes are searched by the keys of the queries' classes alone, and
-    votes are summed before anything is compared.
-    """
-    digest = F.sha2("codes", 256)
-    heard = prints.where("n_codes > 0")
-    classes = table(heard.groupBy(digest.alias("d")).agg(F.min(id).alias("c"), F.max(is_query.cast("int")).alias("q"), F.first("codes").alias("codes")), "audio")
 
-    def explode(batches):
-        import pyarrow as pa
+def _index(batches):
+    import pyarrow as pa
 
-        for b in batches:
-            for i in range(b.num_rows):
-                k, at = keys(np.frombuffer(b.column("codes")[i].as_py(), "<u4"))
-                n = len(k)
-                yield pa.RecordBatch.from_arrays([pa.array([b.column("c")[i].as_py()] * n, pa.int64()), pa.array(k), pa.array(at)], names=["c", "k", "at"])
-
-    def index(df: DataFrame) -> DataFrame:
-        return df.select("c", "codes").mapInArrow(explode, "c long, k long, at long")
-
-    own = index(classes.where("q = 1")).select(F.col("c").alias("a"), "k", F.col("at").alias("at_a"))
-    every = index(classes).select(F.col("c").alias("b"), "k", F.col("at").alias("at_b"))
-    votes = own.join(every, "k").where("a <> b").groupBy("a", "b", (F.col("at_a") - F.col("at_b")).alias("offset")).agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.groupBy("a").agg(F.max(F.struct("votes", (-F.col("b")).alias("b"), (-F.col("offset")).alias("offset"))).alias("m"))
-    best = best.select("a", (-F.col("m.b")).alias("b"), (-F.col("m.offset")).alias("offset"), "m.votes")
-    both = best.join(classes.select(F.col("c").alias("a"), F.col("codes").alias("ca")), "a").join(classes.select(F.col("c").alias("b"), F.col("codes").alias("cb")), "b")
-
-    def compare(batches):
-        import pyarrow as pa
+    for b in batches:
+        for c, own in zip(b.column("c").to_pylist(), b.column("codes"), strict=True):
+            k, at = keys(np.frombuffer(own.as_py(), "<u4"))
+            yield pa.RecordBatch.from_arrays([pa.array([c] * len(k), pa.int64()), pa.array(k), pa.array(at)], names=["c", "k", "at"])
 
-        for t in batches:
-            x = [bit_errors(np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4"), o) for a, b, o in zip(*(t.column(c).to_pylist() for c in ("ca", "cb", "offset")), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(t.column(c) for c in ("a", "b", "offset", "votes")), pa.array(x, pa.float64())], names=["a", "b", "offset", "votes", "bit_error"])
 
-    sure = both.select("a", "b", "offset", "votes", "ca", "cb").mapInArrow(compare, "a long, b long, offset long, votes long, bit_error double").where(F.col("bit_error") <= MOST_ERRORS)
-    found = classes.select("d", "c").join(sure, F.col("c") == F.col("a"), "left").select("d", F.col("c").alias("class_id"), F.col("b").alias("match_id"), "offset", "votes", "bit_error")
-    rows = prints.withColumn("_d", F.when(F.col("n_codes") > 0, digest)).drop("codes")
-    out = rows.join(found, F.col("_d") == F.col("d"), "left").drop("_d", "d")
-    for c in ("match_id", "offset", "votes", "bit_error"):
-        out = out.withColumn(c, F.when(is_query, F.col(c)))
-    return out
+def _asked(batches):
+    import pyarrow as pa
 
+    for b in batches:
+        for c, every in zip(b.column("c").to_pylist(), b.column("phases").to_pylist(), strict=True):
+            for p, own in enumerate(every):
+                k, at = keys(np.frombuffer(own, "<u4"))
+                yield pa.RecordBatch.from_arrays([pa.array([c] * len(k), pa.int64()), pa.array([p] * len(k), pa.int32()), pa.array(k), pa.array(at)], names=["a", "phase", "k", "at_a"])
+
+
+def _verified(batches):
+    import pyarrow as pa
+
+    for t in batches:
+        out = []
+        for a, b, every, other, spots in zip(*(t.column(c).to_pylist() for c in ("a", "b", "phases", "codes", "spots")), strict=True):
+            other = np.frombuffer(other, "<u4")
+            own = [np.frombuffer(p, "<u4") for p in every]
+            e, _, p, o, v = min((bit_errors(own[s["phase"]], other, s["offset"]), -s["votes"], s["phase"], s["offset"], s["votes"]) for s in spots)
+            if e <= MOST_ERRORS:
+                out.append((a, b, o, p * HOP // PHASES, v, e))
+        kinds = [pa.int64()] * 5 + [pa.float64()]
+        columns = zip(*out, strict=True) if out else [[]] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "offset", "shift", "votes", "bit_error"])
 
-def conversations(rows: DataFrame) -> DataFrame:
-    """Turns of conversations as recordings: conv_id, turn, n_codes, codes_crc32, class_id, match_id, offset, votes, bit_error.
 
-    Ids of classes are conv_id * 2**16 + turn. Queries are the turns whose conv_id is divisible by 50.
+def links(prints: DataFrame, id: str) -> tuple[DataFrame, DataFrame]:
+    """Classes (d, c, id, copies) and the links of query classes, one row each: a, b (two c), offset (in hops, of a's integers
+    to b's), shift (in samples, added to it), votes at that offset, and bit_error.
+
+    prints: a table of fingerprint's output with a column id (a whole number; it need not be unique).
     """
+    heard = prints.where("n_codes > 0").withColumn("d", F.sha2("codes", 256))
+    # min: one recording stands for all rows of a class, whichever task is first
+    own = heard.groupBy("d").agg(F.min(id).alias("id"), F.count(F.lit(1)).alias("copies"), F.first("codes").alias("codes"), F.min("phases").alias("phases"))
+    classes = table(own.withColumn("c", F.monotonically_increasing_id()), "audio")
+    index = table(classes.select("c", "codes").mapInArrow(_index, INDEX), "keys")
+    asked = classes.where("phases is not null").select("c", "phases").mapInArrow(_asked, "a long, phase int, k long, at_a long")
+    n = index.count()
+    hot = [r["k"] for r in index.groupBy("k").count().where(F.col("count") > limit(n)).select("k").collect()]  # fewer than HEAVY
+    if hot:
+        heavy = F.col("k").isin(hot)
+        index = index.withColumn("salt", F.when(heavy, F.pmod(F.xxhash64("c"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+        asked = asked.withColumn("salt", F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    met = asked.join(index, ["k", "salt"] if hot else ["k"]).where("a <> c")
+    votes = met.groupBy("a", F.col("c").alias("b"), "phase", (F.col("at_a") - F.col("at")).alias("offset")).agg(F.count(F.lit(1)).alias("votes"))
+    spots = table(votes.groupBy("a", "b").agg(F.collect_list(F.struct("phase", "offset", "votes")).alias("spots")), "spots")
+    both = skew_join(table(skew_join(spots, classes.select(F.col("c").alias("a"), "phases"), ["a"]), "half"), classes.select(F.col("c").alias("b"), "codes"), ["b"])
+    sure = table(both.select("a", "b", "phases", "codes", "spots").mapInArrow(_verified, "a long, b long, offset long, shift long, votes long, bit_error double"), "sure")
+    return classes, sure
+
+
+def align(prints: DataFrame, id: str) -> DataFrame:
+    """Every row of prints with class_id, and for rows with phases (the queries) n_links and the best link: match_id (the
+    smallest id of its class), match_class, offset, shift, votes and bit_error."""
+    classes, sure = links(prints, id)
+    named = skew_join(sure, classes.select(F.col("c").alias("b"), "d", F.col("id").alias("other")), ["b"])
+    one = F.struct("bit_error", F.col("d").alias("match_class"), F.col("other").alias("match_id"), "offset", "shift", "votes")
+    best = named.groupBy("a").agg(F.count(F.lit(1)).alias("n_links"), F.min(one).alias("best"))
+    found = classes.select("d", F.col("c").alias("a")).join(best, "a", "left").select("d", "n_links", "best.*")
+    rows = prints.withColumn("d", F.when(F.col("n_codes") > 0, F.sha2("codes", 256)).otherwise("")).withColumn("q", F.col("phases").isNotNull()).drop("codes", "phases")
+    silent = rows.where("d = ''").select("d").limit(1)
+    out = skew_join(rows, table(found, "best"), ["d"], "left", hot=classes.where(F.col("copies") > limit(prints.count())).select("d").unionByName(silent))
+    for c in ("match_id", "match_class", "offset", "shift", "votes", "bit_error"):
+        out = out.withColumn(c, F.when(F.col("q"), F.col(c)))
+    out = out.withColumn("n_links", F.when(F.col("q"), F.coalesce("n_links", F.lit(0).cast("long"))))
+    return out.withColumn("class_id", F.when(F.col("d") != "", F.col("d"))).drop("d", "q")
+
+
+def conversations(rows: DataFrame) -> DataFrame:
+    """Turns of conversations as recordings: conv_id, turn, n_codes, codes_crc32, class_id; and for the queries, the turns whose
+    conv_id is divisible by 50, n_links (classes that link), and of the best one match_conv_id (the smallest conv_id in it),
+    match_class, offset, shift, votes, bit_error."""
     own = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("int").alias("turn"), text_bytes("text").alias("t"))
-    own = own.withColumn("rec", F.coalesce("conv_id", F.lit(-1)) * 65536 + F.coalesce("turn", F.lit(0)))
-    prints = table(fingerprint(own, ["rec", "conv_id", "turn"], "t", render), "prints")
-    return align(prints, "rec", F.coalesce(F.col("conv_id") % 50 == 0, F.lit(False))).drop("rec")
+    prints = table(fingerprint(own, ["conv_id", "turn"], "t", render, F.col("conv_id") % 50 == 0), "prints")
+    out = align(prints, "conv_id").withColumnRenamed("match_id", "match_conv_id")
+    return out.select("conv_id", "turn", "n_codes", "codes_crc32", "class_id", "n_links", "match_conv_id", "match_class", "offset", "shift", "votes", "bit_error")

@@ -5,7 +5,7 @@ on, and the next level holds the next chunk of those alone, in order. A rank dir
 bits before every 512th, so token i is found with one rank per level.
 
 A file is a Parquet file of blocks in ascending document order; a block is one row: its partition and number, the
-tokens of its partition before it, the documents' keys and end positions (little-endian 64-bit), and the payload:
+tokens of its partition before it and its own, the documents' keys and end positions (little-endian 64-bit), and the payload:
 b"DAC1", then little-endian unsigned 32-bit width, levels, and per level the number of chunks, the chunks (one byte
 each), the bitmap (least significant bit first) and the directory.
 
@@ -22,13 +22,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_folder, text_bytes
+from .common import bounded_broadcast, shared_folder, text_bytes
 from .tokens import END_ID, word_ids
 
 MAGIC, WIDTH, STEP = b"DAC1", 8, 512
 BLOCK_TOKENS = 1 << 19
-BLOCKS = "part int, block int, before long, doc_ids binary, ends binary, payload binary"
-DOCS = "part int, doc_id long, start_in_part long, n_tokens long, ids_crc32 long"
+BLOCKS = "part int, block int, before long, n long, doc_ids binary, ends binary, payload binary"
+DOCS = "part int, doc_id long, start_in_part long, n_tokens long, ids_crc32 long, first_id long, last_id long"
+#: Files up to this many send their starts (16 bytes each) by broadcast; beyond it they are joined by shuffle.
+MOST_BROADCAST = 1_000_000
 _NULL = np.iinfo(np.int64).min
 _END = np.asarray([END_ID], dtype="<u4").tobytes()
 
@@ -104,8 +106,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, key: str = "doc_id", text:
 
         def row():
             payload = encode(np.frombuffer(b"".join(ids), "<u4"))
-            cells = [[part], [block], [before], [np.asarray(keys, "<i8").tobytes()], [np.asarray(ends, "<i8").tobytes()], [payload]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            cells = [[part], [block], [before], [n], [np.asarray(keys, "<i8").tobytes()], [np.asarray(ends, "<i8").tobytes()], [payload]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds, strict=True)], names=[f.split()[0] for f in BLOCKS.split(", ")])
 
         for b in batches:
@@ -130,7 +132,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, key: str = "doc_id", text:
 
 
 def read(spark, path: str) -> DataFrame:
-    """A row for each document of the files: doc_id, start, n_tokens, ids_crc32."""
+    """A row for each document of the files: doc_id, start, n_tokens, ids_crc32 of all its ids, and its first and last id,
+    which are read on their own by rank, without decoding what lies before them."""
     blocks = spark.read.schema(BLOCKS).parquet(path)
 
     def run(batches):
@@ -138,24 +141,25 @@ def read(spark, path: str) -> DataFrame:
 
         for b in batches:
             for r in b.to_pylist():
-                keys, ends = np.frombuffer(r["doc_ids"], "<i8"), np.frombuffer(r["ends"], "<i8")
-                ids = Codes(r["payload"]).all()
+                keys, ends, codes = np.frombuffer(r["doc_ids"], "<i8"), np.frombuffer(r["ends"], "<i8"), Codes(r["payload"])
+                ids = codes.all()
                 starts = np.concatenate([[0], ends[:-1]])
                 crc = [zlib.crc32(ids[s:e].tobytes()) for s, e in zip(starts, ends, strict=True)]
                 null = keys == _NULL
+                firsts, lasts = [codes[s] for s in starts.tolist()], [codes[e - 1] for e in ends.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["part"]] * len(keys), pa.int32()), pa.array(keys, pa.int64(), mask=null), pa.array(starts + r["before"]), pa.array(ends - starts), pa.array(crc, pa.int64())],
+                    [pa.array([r["part"]] * len(keys), pa.int32()), pa.array(keys, pa.int64(), mask=null), pa.array(starts + r["before"]), pa.array(ends - starts), *(pa.array(x, pa.int64()) for x in (crc, firsts, lasts))],
                     names=[f.split()[0] for f in DOCS.split(", ")],
                 )
 
-    # the tokens of each file, from its last block's directory: a row for each partition comes to the driver
-    n = F.conv(F.hex(F.reverse(F.expr("substring(payload, 13, 4)"))), 16, 10).cast("long")
-    sums, before, base = blocks.groupBy("part").agg(F.sum(n).alias("n")).collect(), 0, {}
+    # the tokens of each file, from a column of whole numbers alone: a row for each partition comes to the driver
+    sums, before, base = blocks.groupBy("part").agg(F.sum("n").alias("n")).collect(), 0, {}
     for r in sorted(sums):
         base[r["part"]], before = before, before + r["n"]
     each = blocks.mapInArrow(run, DOCS)
     starts = spark.createDataFrame(sorted(base.items()), "p int, base long")
-    return each.join(F.broadcast(starts), F.col("part") == F.col("p")).select("doc_id", (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", "ids_crc32")
+    met = each.join(bounded_broadcast(starts, len(base), MOST_BROADCAST), F.col("part") == F.col("p"))
+    return met.select("doc_id", (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", "ids_crc32", "first_id", "last_id")
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:

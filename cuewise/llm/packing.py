@@ -3,13 +3,17 @@
 A document's full windows are cut off first; what is left of it goes whole into the fill level that minimises the
 sum, over levels, of the squared number of partially filled windows (a new window counts as level 0). Only the
 number of windows per level steers the choice, so the state is one array of `size` counters. Each partition packs
-its own rows, so nothing is shuffled. At the end of a partition the windows still open are joined: their pieces
-run on from one window into the next, cut where one is full, and the last stretch is cut into powers of two, which
-need no padding. Thus nothing is padded at all; the price is at most one cut for each window that was open.
+its own rows, so nothing is shuffled.
 
-Defined results: a null or empty text is its end id alone; repeated rows are packed one by one; an empty table
-gives no pieces; very long texts give as many full windows as they hold; other columns are not read. A lost task
-is packed again from the same rows with the same result.
+At most `most_open` windows are open at a time, which bounds the memory and keeps windows closing all along: when the
+rule wants one more, the fullest window is closed by the head of the piece at hand, and the rest of that piece is placed by
+the rule. At the end of a partition the few windows still open are joined: their pieces run on from one window into
+the next, cut where one is full, and the last stretch is cut into powers of two, which need no padding. Thus nothing is
+padded at all; the price is at most one cut for each window.
+
+Defined results: a null or empty text is its end id alone; repeated rows are packed one by one; of levels that are
+equally good the fullest is taken; an empty table gives no pieces; very long texts give as many full windows as they
+hold; other columns are not read. A lost task is packed again from the same rows with the same result.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from .common import text_bytes
 from .tokens import END_ID, word_ids
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Windows that a task holds open (8 KB each).
+MOST_OPEN = 64
 _END = np.asarray([END_ID], dtype="<u4").tobytes()
 
 
@@ -33,8 +39,9 @@ class LevelArray:
         self.size = size
         self.counts = np.zeros(size + 1, dtype=np.int64)
 
-    def place(self, length: int) -> int:
-        """The level to put a piece of this length on (0: a new window), and the counters after it."""
+    def place(self, length: int, new: bool = True) -> int | None:
+        """The level to put a piece of this length on (0: a new window), and the counters after it. Without new ones: None if
+        no open window has room."""
         n, size = self.counts, self.size
         top = size - length
         # the change of the sum of squares: level h loses a window, level h + length gains one; full ones do not count
@@ -42,7 +49,9 @@ class LevelArray:
         change[top] = 1 - 2 * n[top]
         change[0] = 2 * n[length] + 1
         open_levels = n[: top + 1] > 0
-        open_levels[0] = True
+        open_levels[0] = new
+        if not open_levels.any():
+            return None
         change[~open_levels] = np.iinfo(np.int64).max
         h = top - int(np.argmin(change[::-1]))  # of equals the fullest
         if h:
@@ -52,24 +61,43 @@ class LevelArray:
         return h
 
 
-def pack_stream(docs, size: int):
-    """docs: (key, ids as bytes). Yields lists of (key, start, ids or crc, doc_tokens, offset), one for each sequence."""
+def pack_stream(docs, size: int, most_open: int = MOST_OPEN):
+    """docs: (key, ids as bytes). Yields lists of (key, start, ids, doc_tokens, offset), one for each sequence."""
     levels = LevelArray(size)
     waiting: dict[int, list[list]] = {}
+    n_open = 0
+
+    def put(h: int, piece: tuple):
+        """The window of level h with the piece, if that fills it."""
+        nonlocal n_open
+        own = waiting.get(h)
+        window = own.pop() if h else []
+        if own == []:
+            del waiting[h]
+        n_open += not h
+        window.append((*piece, h))
+        filled = h + len(piece[2]) // 4
+        if filled == size:
+            n_open -= 1
+            return window
+        waiting.setdefault(filled, []).append(window)
+        return None
+
     for key, ids in docs:
         n = len(ids) // 4
-        full = n - n % size
-        for start in range(0, full, size):
-            yield [(key, start, ids[4 * start : 4 * (start + size)], n, 0)]
-        if full == n:
-            continue
-        h = levels.place(n - full)
-        window = waiting[h].pop() if h else []
-        window.append((key, full, ids[4 * full :], n, h))
-        if h + n - full == size:
-            yield window
-        else:
-            waiting.setdefault(h + n - full, []).append(window)
+        start = n - n % size
+        for at in range(0, start, size):
+            yield [(key, at, ids[4 * at : 4 * (at + size)], n, 0)]
+        while start < n:
+            h = levels.place(n - start, n_open < most_open)
+            end = n
+            if h is None:  # no room: the head closes the fullest window
+                h = max(waiting)
+                levels.counts[h] -= 1
+                end = start + size - h
+            if done := put(h, (key, start, ids[4 * start : 4 * end], n)):
+                yield done
+            start = end
     yield from _joined((piece for h in sorted(waiting, reverse=True) for window in waiting[h] for piece in window), size)
 
 

@@ -26,6 +26,10 @@ def op3_quality_rules(spark, sf_dir):
     return rules.judge(read(spark, sf_dir, "documents"))
 
 
+def rule_ablations(spark, sf_dir):
+    return rules.all_ablations(read(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark, sf_dir):
     return secrets.scan(read(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "rule_ablations": rule_ablations,
     "op4_secret_scans": op4_secret_scans,
     "op5_near_dedup": op5_near_dedup,
     "op6_url_filters": op6_url_filters,
@@ -73,4 +78,4 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "pipeline": pipeline,
 }
-ORACLE_SQL = {"op2_mixing": mixing.ORACLE, "op3_quality_rules": rules.ORACLE, "op6_url_filters": urls.ORACLE}
+ORACLE_SQL = {"op2_mixing": mixing.ORACLE, "op3_quality_rules": rules.ORACLE, "rule_ablations": rules.ABLATIONS_ORACLE, "op6_url_filters": urls.ORACLE}

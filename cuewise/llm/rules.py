@@ -1,13 +1,14 @@
 """Quality rules as a bitmask ledger (native DataFrame operations only).
 
-`ledger` evaluates every rule of a rule set once and stores, per document, the measurements and one integer
-whose bit k says that rule k failed. A `Policy` is a versioned mask over those bits, so that a changed policy
-is applied to the stored ledger without reading a text again, and ablations (what each rule removes alone, and
-what would come back without it) are sums over distinct masks.
+`ledger` evaluates every rule of a rule set once and gives, per document, the measurements and one integer whose bit k
+says that rule k failed. It is written once; a `Policy` is a versioned mask over those bits, so every policy is applied to
+the stored ledger without reading a text again, and ablations (what each rule removes alone, and what would come
+back without it) are sums over distinct masks.
 
 Defined results: a null text has no words, symbols or lines and counts 0 everywhere; an empty table gives an
-empty ledger; repeated rows are judged one by one; other columns of the table, whatever their names, are not
-read. Whole texts are measured, however long.
+empty ledger and ablations of 0 rows; a measurement just at a rule's limit passes; repeated rows are judged one by one;
+other columns of the table, whatever their names, are not read. Whole texts are measured, however long. Three-word
+windows are told apart by 64-bit hashes: two different ones of a text of a million words agree with a chance of 3e-8.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD_PATTERN
+from .common import SPACE, WORD_PATTERN, table
 
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -25,7 +26,8 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 @dataclass(frozen=True)
 class Rule:
-    """fails: SQL over the measurements n_words, word_chars, n_symbols, """
+    """fails: SQL over the measurements n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words and n_capitals
+    that is true where the rule fails."""
 
     name: str
     fails: str
@@ -46,9 +48,12 @@ RULES = (
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 20 * n_words"),
     Rule("shouting", "2 * n_capitals > word_chars"),
+    Rule("many_duplicate_lines", "10 * n_dup_lines > 3 * n_lines"),
 )
 BASE = Policy("base-1", ("too_few_words", "repeated_words"))
-PRODUCTION = Policy("production-1", ("symbols", "duplicate_lines", "short_words", "long_words", "shouting"))
+STRICT = Policy("production-1", ("symbols", "many_duplicate_lines", "short_words", "long_words", "shouting"))
+#: Since version 2 repeated lines fail a text only if they are most of it.
+PRODUCTION = Policy("production-2", ("symbols", "duplicate_lines", "short_words", "long_words", "shouting"))
 
 
 def let(value: Column, use) -> Column:
@@ -76,7 +81,8 @@ def repeat_words(w: Column) -> Column:
             ),
             lambda p: p.isNotNull(),
         )
-        return F.size(F.array_distinct(F.flatten(F.transform(hits, lambda p: F.array(p, p + 1, p + 2)))))
+        # hits in order of place: each adds its three words but for those that the next one adds
+        return let(F.sort_array(hits), lambda h: F.aggregate(F.transform(h, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(h, i + 1) - p, F.lit(3)))), F.lit(0), lambda a, x: a + x))
 
     def windows(w: Column) -> Column:
         return F.sort_array(
@@ -158,8 +164,8 @@ def ablations(ledger: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """The ledger under the base policy and the production policy."""
-    return ledger(docs).select(
+    """The stored ledger under the base policy and the production policy, and under the production policy's first version."""
+    return table(ledger(docs), "ledger").select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -169,10 +175,20 @@ def judge(docs: DataFrame) -> DataFrame:
         (~passes(BASE)).alias("base_failed"),
         (passes(BASE) & passes(PRODUCTION)).alias("kept"),
         "failed",
+        (passes(BASE) & passes(STRICT)).alias("kept_by_version_1"),
     )
 
 
-ORACLE = rf"""
+def all_ablations(docs: DataFrame) -> DataFrame:
+    """version and the ablations of both versions of the production policy, the base rules with them, from one stored ledger."""
+    stored, out = table(ledger(docs), "ledger"), None
+    for policy in (STRICT, PRODUCTION):
+        one = ablations(stored, Policy(policy.version, BASE.rules + policy.rules)).withColumn("version", F.lit(policy.version))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_LEDGER = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '{WORD_PATTERN}') AS w
@@ -201,10 +217,20 @@ WITH w AS (
     + (CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END)
     + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END)
     + (CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)
-    + (CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END))::BIGINT AS failed
+    + (CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END)
+    + (CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 128 ELSE 0 END))::BIGINT AS failed
   FROM m
-)
+)"""
+ORACLE = f"""{_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed
+       (failed & 3) <> 0 AS base_failed, (failed & 127) = 0 AS kept, failed, (failed & 247) = 0 AS kept_by_version_1
 FROM f
 """
+ABLATIONS_ORACLE = f"""{_LEDGER}, p(version, rules) AS (VALUES ('production-1', 247), ('production-2', 127)),
+r(rule, bit) AS (VALUES ('too_few_words', 1), ('repeated_words', 2), ('symbols', 4), ('duplicate_lines', 8), ('short_words', 16),
+  ('long_words', 32), ('shouting', 64), ('many_duplicate_lines', 128))
+SELECT version, rule, count(*) FILTER (WHERE failed & bit <> 0)::BIGINT AS n_failed,
+       count(*) FILTER (WHERE failed & rules = bit)::BIGINT AS n_failed_alone,
+       count(*) FILTER (WHERE failed & rules & ~bit = 0)::BIGINT AS n_kept_without
+FROM f, p JOIN r ON rules & bit <> 0 GROUP BY version, rule
+"""

@@ -8,11 +8,12 @@ rule is sent to every range that its interval meets. Range borders come from a b
 the path and a hash of the page as well, so one host, or one url, that fills a third of the table is split too.
 
 A rule fits the urls of its host and all subdomains whose path starts with the rule's path; the longest fitting
-rule (host and path as written) wins, of two as long the one with the longer host. Without one the verdict is
-`default`.
+rule (host and path as written) wins, of two as long the one with the longer host; of rules with one host and path but
+different verdicts the verdict that comes last in the alphabet wins, so `block` before `allow`. Without one the
+verdict is `default`.
 
 Defined results: a null url, or one without "://", has an empty host and path and fits no rule; an empty host fits
-no rule; repeated rows are judged one by one; an empty table or rule set is allowed; other columns are not read.
+no rule; repeated rows are judged one by one, urls of any length whole; an empty table or rule set is allowed; other columns are not read.
 """
 
 from __future__ import annotations
@@ -119,7 +120,7 @@ def _sweep(urls: DataFrame, rules: DataFrame, borders: list[bytes], default: str
     r = rules.select(host_key(F.col("host")).alias("k"), "host", "path", "verdict").where(F.col("k") != "")
     right = r.select(F.explode(places("k")).alias("part"), F.col("k").alias("at"), "k", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("page_id"), "host", "path", "verdict")
     n = len(borders) + 1
-    laid = left.unionByName(right).repartition(n, "part").sortWithinPartitions("part", "at", "kind")
+    laid = left.unionByName(right).repartitionById(n, "part").sortWithinPartitions("part", "at", "kind")
 
     def sweep(batches):
         import pyarrow as pa
