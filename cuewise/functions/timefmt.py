@@ -15,6 +15,11 @@ def to_seconds(ms: Column) -> Column:
     return ms / F.lit(1000.0)
 
 
+def exact(columns: list[str], side: str) -> Column:
+    """The start or end in seconds as the source had it if the rows carry it (start_s, end_s), else from milliseconds."""
+    return F.col(f"{side}_s") if f"{side}_s" in columns else to_seconds(F.col(f"{side}_ms"))
+
+
 def clock(ms: Column, mark: str = ".") -> Column:
     """HH:MM:SS and milliseconds after the mark; times before 0 show as 0."""
     t = F.greatest(ms.cast("bigint"), F.lit(0).cast("bigint"))
@@ -27,6 +32,7 @@ def srt_clock(ms: Column) -> Column:
 
 
 def fixed3(x: Column) -> Column:
+    """A number with three decimals."""
     return F.format_string("%.3f", x)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import timefmt
 from . import intervals
@@ -77,18 +79,26 @@ def matched_labels(decoded: DataFrame, least_ms: int = 1000, width: int = interv
 def reconcile(decoded: DataFrame, least_ms: int = 1000) -> DataFrame:
     """rec, chunk, label, speaker: one speaker label for a chain of matched labels, numbered by its first chunk and label.
 
-    A label has at most one match before it, so a chain is followed by doubling: each round jumps twice as far back.
+    A label has at most one match before it and one after, so chains are followed in one pass over a recording's labels in
+    order of chunks. Only labels meet in a task (a few for every 25 minutes of a recording), never segments.
     """
     pairs = matched_labels(decoded, least_ms)
-    node = lambda c, x: F.struct(F.col(c).alias("chunk"), F.col(x).alias("label"))
-    nodes = decoded.select("rec", "chunk", "label").distinct().select("rec", node("chunk", "label").alias("node"))
-    back = pairs.select("rec", node("next_chunk", "next_label").alias("node"), node("chunk", "label").alias("root"))
-    state = nodes.join(back, ["rec", "node"], "left").withColumn("root", F.coalesce("root", "node"))
-    longest = decoded.agg(F.max("chunk") - F.min("chunk")).first()[0] or 0
-    reach = 1
-    while reach < longest:
-        far = state.select("rec", F.col("node").alias("root"), F.col("root").alias("_far"))
-        state = state.join(far, ["rec", "root"], "left").select("rec", "node", F.coalesce("_far", "root").alias("root"))
-        reach *= 2
-    n = F.dense_rank().over(Window.partitionBy("rec").orderBy("root.chunk", "root.label"))
-    return state.select("rec", "node.chunk", "node.label", timefmt.speaker_label(n).alias("speaker"))
+    nodes = decoded.select("rec", "chunk", "label").distinct()
+    back = pairs.select("rec", F.col("next_chunk").alias("chunk"), F.col("next_label").alias("label"), F.col("chunk").alias("_chunk"), F.col("label").alias("_label"))
+    linked = nodes.join(back, ["rec", "chunk", "label"], "left")
+
+    def follow(own: pd.DataFrame) -> pd.DataFrame:
+        own, roots = own.sort_values(["chunk", "label"], ignore_index=True), {}
+        for chunk, label, before, known in zip(own["chunk"], own["label"], own["_chunk"], own["_label"], strict=True):
+            roots[chunk, label] = (chunk, label) if known is None else roots[int(before), known]
+        number = {root: f"SPK{i:02d}" for i, root in enumerate(sorted(set(roots.values())), 1)}
+        return own[["rec", "chunk", "label"]].assign(speaker=[number[r] for r in roots.values()])
+
+    schema = T.StructType([*(linked.schema[c] for c in ("rec", "chunk", "label")), T.StructField("speaker", T.StringType())])
+    return linked.groupBy("rec").applyInPandas(follow, schema)
+
+
+def stated_silences(rows: DataFrame) -> DataFrame:
+    """Silences as a detector gives them, rec, start and end in seconds, as rec, lo_ms, hi_ms; what has no length goes."""
+    out = rows.select("rec", timefmt.to_ms(F.col("start")).alias("lo_ms"), timefmt.to_ms(F.col("end")).alias("hi_ms"))
+    return out.where("hi_ms > lo_ms")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import distance, textnorm
@@ -14,6 +14,46 @@ def pair(first: DataFrame, second: DataFrame, on: tuple[str, ...] = ("rec", "win
     return a.join(second.select(*on, F.col("text").alias("text_b")), list(on))
 
 
+def char_windows(first: DataFrame, second: DataFrame, size: int = 45, on: tuple[str, ...] = ("rec", "window")) -> DataFrame:
+    """Whole texts cut into windows of `size` characters, the same places of both side by side: on, part, text_a, text_b.
+
+    What one text has beyond the other meets an empty window, and null is empty, so every character is compared.
+    """
+    cut = lambda c: F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    both = F.arrays_zip(cut("text_a").alias("a"), cut("text_b").alias("b"))
+    rows = pair(first, second, on).select(*on, F.posexplode(both).alias("part", "w"))
+    return rows.select(*on, "part", *[F.coalesce(f"w.{x}", F.lit("")).alias(f"text_{x}") for x in "ab"])
+
+
+def word_windows(first: DataFrame, second: DataFrame, size: int = 45, on: tuple[str, ...] = ("rec", "window")) -> DataFrame:
+    """As char_windows, for the normal forms of words: on, part, words_a, words_b."""
+
+    def cut(c: str) -> Column:
+        w = textnorm.words(F.coalesce(F.col(c), F.lit("")))
+        starts = F.when(F.size(w) > 0, F.sequence(F.lit(1), F.size(w), F.lit(size))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(w, i, size))
+
+    none = F.array().cast("array<string>")
+    both = F.arrays_zip(cut("text_a").alias("a"), cut("text_b").alias("b"))
+    rows = pair(first, second, on).select(*on, F.posexplode(both).alias("part", "w"))
+    return rows.select(*on, "part", *[F.coalesce(f"w.{x}", none).alias(f"words_{x}") for x in "ab"])
+
+
+def windows_by_characters(windows: DataFrame) -> DataFrame:
+    """Edits of each window, without Python."""
+    rows = windows.withColumn("n_chars", F.char_length("text_a").cast("bigint")).withColumn("edits", F.levenshtein("text_a", "text_b").cast("bigint"))
+    return rows.withColumn("disagreement", distance.disagreement(F.col("edits"), F.col("n_chars")))
+
+
+def windows_by_words(windows: DataFrame) -> DataFrame:
+    """Edits of each window, without Python: a window of 45 words on both sides has at most 90 distinct ones, and each becomes
+    a letter."""
+    of = F.array_distinct(F.concat("words_a", "words_b"))
+    letters = lambda c: F.array_join(F.transform(c, lambda w: F.char(F.array_position(of, w) + 32)), "")
+    rows = windows.withColumn("n_words", F.size("words_a").cast("bigint")).withColumn("edits", F.levenshtein(letters("words_a"), letters("words_b")).cast("bigint"))
+    return rows.withColumn("disagreement", distance.disagreement(F.col("edits"), F.col("n_words")))
+
+
 def pool(**runs: DataFrame) -> DataFrame:
     """All runs in one table with the column model."""
     out = None

@@ -81,6 +81,22 @@ def merge_chunks(parts: DataFrame, chunks: DataFrame, width: int = BUCKET_MS) ->
     return owned(parts, chunks, width, chunk_known=True)
 
 
+def within(rows: DataFrame, lo_ms: Column | int, hi_ms: Column | int) -> DataFrame:
+    """Rows that start in a window, [lo, hi)."""
+    lo, hi = (F.lit(x) if isinstance(x, int) else x for x in (lo_ms, hi_ms))
+    return rows.where((F.col("start_ms") >= lo) & (F.col("start_ms") < hi))
+
+
+def active(frames: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Frames (rec, speaker, start_ms, end_ms, score) in which a speaker's activity reaches the threshold; null and NaN do not."""
+    return frames.where(~F.isnan("score") & (F.col("score") >= threshold))
+
+
+def turns_from_frames(frames: DataFrame, threshold: float = 0.5, gap_ms: int = 200, min_ms: int = 250) -> DataFrame:
+    """Scored frames as turns: active ones, merged over short gaps, without the shortest."""
+    return gap_merge(active(frames, threshold), gap_ms, min_ms)
+
+
 def gap_merge(turns: DataFrame, gap_ms: int = 200, min_ms: int = 250) -> DataFrame:
     """Turns of one speaker no further apart than gap_ms become one; what is shorter than min_ms then goes."""
     w = Window.partitionBy("rec", "speaker").orderBy("start_ms", "end_ms")
@@ -91,18 +107,24 @@ def gap_merge(turns: DataFrame, gap_ms: int = 200, min_ms: int = 250) -> DataFra
     return merged.drop("_island").where(F.col("end_ms") - F.col("start_ms") >= min_ms)
 
 
-def nearest_boundary(a: DataFrame, b: DataFrame) -> DataFrame:
+def nearest_boundary(a: DataFrame, b: DataFrame, width: int = 12 * BUCKET_MS) -> DataFrame:
     """For every start of a the distance to the nearest start of b in the recording (null if b has none there).
 
-    Both are laid on one axis and swept in both directions: linear, where comparing all pairs is quadratic.
+    Both are laid on one axis, cut into buckets of width, and each bucket is swept forwards and backwards by frames that only
+    grow: linear, where comparing pairs is quadratic, and one long recording is swept by many tasks. What the buckets beside
+    hold comes in as two more boundaries, from a window over one row for each bucket.
     """
     x = a.select("rec", F.col("start_ms").alias("t"), F.lit(1).alias("side"), F.col("ord"))
     y = b.select("rec", F.col("start_ms").alias("t"), F.lit(0).alias("side"), F.lit(None).cast("bigint").alias("ord"))
+    rows = x.unionByName(y).withColumn("_b", _bucket(F.col("t"), width))
     mark = F.when(F.col("side") == 0, F.col("t"))
-    w = Window.partitionBy("rec").orderBy("t", "side")
-    before = F.last(mark, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(mark, True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    swept = x.unionByName(y).withColumn("_p", before).withColumn("_n", after).where("side = 1")
+    ends = rows.groupBy("rec", "_b").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"))
+    grow = lambda *order: Window.partitionBy("rec").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("rec", "_b", F.array(F.last("hi", True).over(grow("_b")), F.last("lo", True).over(grow(F.desc("_b")))).alias("_ts"))
+    carried = carried.select("rec", F.explode("_ts").alias("t"), F.lit(0).alias("side"), F.lit(None).cast("bigint").alias("ord"), "_b").where("t is not null")
+    every = rows.unionByName(carried)
+    upto = lambda *order: Window.partitionBy("rec", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    swept = every.withColumn("_p", F.last(mark, True).over(upto("t", "side"))).withColumn("_n", F.last(mark, True).over(upto(F.desc("t"), "side"))).where("side = 1")
     return swept.select("rec", "ord", F.col("t").alias("start_ms"), F.least(F.col("t") - F.col("_p"), F.col("_n") - F.col("t")).alias("distance_ms"))
 
 

@@ -1,11 +1,15 @@
-"""Routing, remapping and numbering of segments for review."""
+"""Routing, remapping and numbering of segments for review.
+
+Times are judged in seconds as the source has them (columns start_s and end_s, where a scan gives them), so nothing that
+rounding to milliseconds would shorten or lengthen is rejected or kept by mistake.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import textnorm
+from ..functions import textnorm, timefmt
 
 SPEECH_CUTOFF_MS, FIRST_START_MS, CUTOFF_MS = 2_158_000, 7_540, 4_809_500
 REASONS = ("empty_text", "invalid_or_zero_duration", "after_cutoff")
@@ -14,20 +18,13 @@ REASONS = ("empty_text", "invalid_or_zero_duration", "after_cutoff")
 SPEAKER_NAMES = {"S01": "西卡", "S02": "万国", "S03": "万国"}
 
 
-def verdict(cutoff_ms: int | Column = CUTOFF_MS) -> Column:
-    """The first reason that fits, or kept. Null times (NaN in the source) have no valid duration."""
-    cutoff = F.lit(cutoff_ms) if isinstance(cutoff_ms, int) else cutoff_ms
-    valid = F.coalesce(F.col("end_ms") > F.col("start_ms"), F.lit(False))
-    return (
-        F.when(textnorm.strip(F.coalesce("text", F.lit(""))) == "", REASONS[0])
-        .when(~valid, REASONS[1])
-        .when(F.col("end_ms") > cutoff, REASONS[2])
-        .otherwise("kept")
-    )
-
-
 def route(segments: DataFrame, cutoff_ms: int | Column = CUTOFF_MS) -> DataFrame:
-    return segments.withColumn("verdict", verdict(cutoff_ms))
+    """segments with verdict: the first reason that fits, or kept. Null times (NaN in the source) have no valid duration."""
+    start, end = (timefmt.exact(segments.columns, side) for side in ("start", "end"))
+    cutoff = timefmt.to_seconds(F.lit(cutoff_ms) if isinstance(cutoff_ms, int) else cutoff_ms)
+    valid = F.coalesce(end > start, F.lit(False)) & ~F.isnan(F.coalesce(start, F.lit(0.0))) & ~F.isnan(F.coalesce(end, F.lit(0.0)))
+    verdict = F.when(textnorm.strip(F.coalesce("text", F.lit(""))) == "", REASONS[0]).when(~valid, REASONS[1]).when(end > cutoff, REASONS[2]).otherwise("kept")
+    return segments.withColumn("verdict", verdict)
 
 
 def kept(routed: DataFrame) -> DataFrame:
@@ -59,13 +56,31 @@ def remap_by(segments: DataFrame, names: DataFrame, rec: bool = True) -> DataFra
 
 def diarized(segments: DataFrame, cutoff_ms: int = SPEECH_CUTOFF_MS, first_start_ms: int | None = FIRST_START_MS, names: dict[str, str] | None = None) -> DataFrame:
     """Segments that start before the cutoff; the first of the source (not of what is left) may get another start."""
-    start = F.col("start_ms") if first_start_ms is None else F.when(F.col("ord") == 0, F.lit(first_start_ms).cast("bigint")).otherwise(F.col("start_ms"))
-    return segments.where(F.col("start_ms") < cutoff_ms).select(
+    first = F.lit(first_start_ms is not None) & (F.col("ord") == 0)
+    start, end = (timefmt.exact(segments.columns, side) for side in ("start", "end"))
+    more = [F.when(first, F.lit((first_start_ms or 0) / 1000)).otherwise(start).alias("start_s"), end.alias("end_s")] if "start_s" in segments.columns else []
+    return segments.where(start < F.lit(cutoff_ms / 1000)).select(
         "rec",
         "ord",
-        start.alias("start_ms"),
+        F.when(first, F.lit(first_start_ms or 0).cast("bigint")).otherwise(F.col("start_ms")).alias("start_ms"),
         "end_ms",
+        *more,
         remap(F.col("speaker"), SPEAKER_NAMES if names is None else names).alias("speaker"),
         F.col("speaker").alias("original_speaker_id"),
         textnorm.strip_speaker_tag(F.col("text")).alias("text"),
     )
+
+
+# The notes of a diarized document; times have three decimals.
+MAPPED = ("Mapped S01 to 西卡.", "Mapped S02 and fragmented S03 turns to 万国.")
+STARTED = ("Corrected the first cue start to ", "s using the baseline MOSS run.")
+DISCARDED = ("Discarded output beginning at ", "s or later as outro hallucination.")
+
+
+def notes(first_start_ms: int = FIRST_START_MS, cutoff_ms: int = SPEECH_CUTOFF_MS, mapped: tuple[str, ...] = MAPPED) -> list[Column]:
+    """What was done to a diarized transcript, as its document says it."""
+
+    def timed(words: tuple[str, str], ms: int) -> Column:
+        return F.concat(F.lit(words[0]), timefmt.fixed3(F.lit(ms / 1000)), F.lit(words[1]))
+
+    return [*map(F.lit, mapped), timed(STARTED, first_start_ms), timed(DISCARDED, cutoff_ms)]

@@ -1,8 +1,13 @@
-"""The query catalogue over the driver's tables, each with SQL for the same rows where SQL can express it."""
+"""The query catalogue over the driver's tables, each with SQL for the same rows where SQL can express it.
+
+Some queries read no table, as no table holds what they are about (absent fields, private hosts, published measurements,
+reviewed documents): optional_fields, exact_times, exact_cutoff, srt_null_speaker, private_host_flag, metrics_rtf,
+render_bilingual, run_totals and compact_segments are checks of a contract on literal rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema
@@ -75,7 +80,7 @@ WITH {fx.SQL_SEG}, x AS (
 
 @query(f"{TAGGED_SQL} SELECT rec, id, relative_start, relative_end, model_speaker_guess, text FROM x")
 def tagged_extract(spark, d):
-    return tagged.extract(blobs(spark, d)).select("rec", "id", "relative_start", "relative_end", "model_speaker_guess", "text")
+    return tagged.extract(transcripts.tagged_texts(blobs(spark, d))).select("rec", "id", "relative_start", "relative_end", "model_speaker_guess", "text")
 
 
 @query(f"{TAGGED_SQL} SELECT rec, id, relative_start + rec * 10.0::DOUBLE AS absolute_start, relative_end + rec * 10.0::DOUBLE AS absolute_end FROM x")
@@ -141,6 +146,22 @@ def optional_fields(spark, d):
     return review.route(transcripts.asr_segments(docs)).select("ord", "start_ms", "end_ms", "text", "avg_logprob", "verdict")
 
 
+@query("""SELECT * FROM (VALUES (0::BIGINT, 1.0001::DOUBLE, 1.0004::DOUBLE, 'kept'), (1, 4809.0, 4809.5004, 'after_cutoff'), (2, 4809.0, 4809.5, 'kept'),
+ (3, 7.0004, 7.0001, 'invalid_or_zero_duration')) t(ord, start_s, end_s, verdict)""")
+def exact_times(spark, d):
+    """Times that differ by less than a millisecond."""
+    text = '{"segments":[{"start":1.0001,"end":1.0004,"text":"a"},{"start":4809.0,"end":4809.5004,"text":"b"},{"start":4809.0,"end":4809.5,"text":"c"},{"start":7.0004,"end":7.0001,"text":"d"}]}'
+    docs = spark.createDataFrame([("one", text)], "rec string, json string").select("rec", F.from_json("json", schema.TRANSCRIPT).alias("j")).select("rec", "j.*")
+    return review.route(transcripts.asr_segments(docs)).select("ord", "start_s", "end_s", "verdict")
+
+
+@query("SELECT * FROM (VALUES (0::BIGINT, 7.54::DOUBLE, 9.00049::DOUBLE, 'UNKNOWN'), (1, 2157.9996, 2159.0, '万国')) t(ord, start_s, end_s, speaker)")
+def exact_cutoff(spark, d):
+    text = '{"segments":[{"start":0,"end":9.00049,"text":"[S01] a"},{"start":2157.9996,"end":2159.0,"speaker_id":"S03","text":"b"},{"start":2158.0,"end":2159.0,"text":"c"}]}'
+    docs = spark.createDataFrame([("one", text)], "rec string, json string").select("rec", F.from_json("json", schema.TRANSCRIPT).alias("j")).select("rec", "j.*")
+    return review.diarized(transcripts.diarized_segments(docs)).select("ord", "start_s", "end_s", "speaker")
+
+
 # Scalar functions
 
 
@@ -221,6 +242,14 @@ def srt_document(spark, d):
     return render.srt_plain(fx.seg(spark, d).withColumn("id", F.col("ord") + 1))
 
 
+@query("""SELECT 'r' AS rec, '1' || chr(10) || '00:00:00,000 --> 00:00:01,000' || chr(10) || 'UNKNOWN：a' || chr(10) || chr(10) || '2' || chr(10)
+ || '00:00:01,000 --> 00:00:02,000' || chr(10) || 'B：' || chr(10) || chr(10) AS srt""")
+def srt_null_speaker(spark, d):
+    """No cue and no number is lost for want of a speaker or a text."""
+    rows = [("r", 1, 0, 1000, None, "a"), ("r", 2, 1000, 2000, "B", None)]
+    return render.srt_with_speakers(spark.createDataFrame(rows, "rec string, id bigint, start_ms bigint, end_ms bigint, speaker string, text string"))
+
+
 @query(f"WITH {fx.SQL_SEG} SELECT rec, (ord + 1)::BIGINT AS id, start_ms, end_ms, speaker || '：' || trim(text) AS text FROM seg WHERE trim(text) <> ''")
 def srt_reader_roundtrip(spark, d):
     rows = fx.seg(spark, d).where(textnorm.strip(F.col("text")) != "").withColumn("id", F.col("ord") + 1).withColumn("text", textnorm.strip(F.col("text")))
@@ -249,34 +278,118 @@ def no_timecode_gate(spark, d):
     return render.raw_markdown(fx.seg(spark, d).withColumn("text", mixed)).select("rec", textnorm.has_timecode(F.col("md")).alias("has_timecode"))
 
 
-REVIEWED_ROW = '{"metadata":{"title":"Talk","source_language":"en"},"speakers":[{"id":"SPK01","display_name":"Host","confidence":"unknown","evidence":"Label."}],"segments":[{"start":65.25,"end":68.5,"speaker":"SPK01","source":"Orig.","calibrated":"Fixed.","zh":"修正。","uncertain":true}],"unresolved":[{"start":65.25,"type":"number","note":"Check."}]}'
+#: Two speakers, one of them without a name, a segment whose speaker is not listed, and nothing unresolved.
+REVIEWED_ROW = """{"metadata":{"title":"Weather, part 2","source_file":"w2.flac","source_language":"en"},
+"speakers":[{"id":"A","display_name":"Ana","confidence":"high","evidence":"Says her name."},{"id":"B"}],
+"segments":[{"start":0.5,"end":2.0,"speaker":"A","source":"rain to day","calibrated":"Rain today.","zh":"今天有雨。"},
+{"start":2.0,"end":3.25,"speaker":"B","source":"how mutch","calibrated":"How much?","zh":"多少？","uncertain":true},
+{"start":3.25,"end":4.0,"speaker":"C","source":"ten","calibrated":"Ten.","zh":"十。","uncertain":false}],
+"unresolved":null}"""
+_LINES = "'# Weather, part 2' || chr(10) || chr(10) || '**Ana：** {}' || chr(10) || chr(10) || '**B：** {}' || chr(10) || chr(10) || '**C：** {}' || chr(10)"
+_TWO = "{}' || chr(10) || chr(10) || '{}"
 
 
-@query("""SELECT 'one' AS rec, name, md FROM (VALUES
- ('source', '# Talk' || chr(10) || chr(10) || '**Host：** Orig.' || chr(10)), ('en', '# Talk' || chr(10) || chr(10) || '**Host：** Fixed.' || chr(10)),
- ('zh', '# Talk' || chr(10) || chr(10) || '**Host：** 修正。' || chr(10)),
- ('bilingual', '# Talk' || chr(10) || chr(10) || '**Host：** Fixed.' || chr(10) || chr(10) || '修正。' || chr(10)),
- ('review', '# Talk' || chr(10) || chr(10) || '**Host：** Fixed. [?]' || chr(10) || chr(10) || '## Speakers' || chr(10) || chr(10) || '- Host (unknown): Label.' || chr(10) || chr(10) || '## Unresolved' || chr(10) || chr(10) || '- number: Check.' || chr(10))) t(name, md)""")
+@query(f"""SELECT 'one' AS rec, name, md FROM (VALUES
+ ('source', {_LINES.format('rain to day', 'how mutch', 'ten')}), ('en', {_LINES.format('Rain today.', 'How much?', 'Ten.')}),
+ ('zh', {_LINES.format('今天有雨。', '多少？', '十。')}),
+ ('bilingual', {_LINES.format(_TWO.format('Rain today.', '今天有雨。'), _TWO.format('How much?', '多少？'), _TWO.format('Ten.', '十。'))}),
+ ('review', {_LINES.format('Rain today.', 'How much? [?]', 'Ten.')} || chr(10) || '## Speakers' || chr(10) || chr(10) || '- Ana (high): Says her name.' || chr(10)
+   || '- B (unknown): ' || chr(10) || chr(10) || '## Unresolved' || chr(10) || chr(10))) t(name, md)""")
 def render_bilingual(spark, d):
     docs = spark.createDataFrame([("one", REVIEWED_ROW)], "rec string, json string").select("rec", F.from_json("json", schema.REVIEWED).alias("j")).select("rec", "j.*")
     return render.final_markdown(docs)
 
 
-@query()
+# JSON documents, scanned again by their declared schemas.
+
+
+def parsed(docs: DataFrame, kind: str) -> DataFrame:
+    return docs.select("rec", F.from_json("json", kind).alias("j")).select("rec", "j.*")
+
+
+@query(f"""WITH {fx.SQL_DIRTY}, v AS (SELECT *, {VERDICT} AS v FROM dirty), k AS (SELECT rec, row_number() OVER (PARTITION BY rec ORDER BY ord)::BIGINT AS id, start_ms / 1000.0::DOUBLE AS "start",
+  end_ms / 1000.0::DOUBLE AS "end", trim(text) AS text FROM v WHERE v = 'kept'), c AS (
+  SELECT rec, count(*)::BIGINT AS source_segment_count, count(*) FILTER (WHERE v = 'kept')::BIGINT AS segment_count, count(*) FILTER (WHERE v = 'empty_text')::BIGINT AS empty_text,
+    count(*) FILTER (WHERE v = 'invalid_or_zero_duration')::BIGINT AS invalid_or_zero_duration, count(*) FILTER (WHERE v = 'after_cutoff')::BIGINT AS after_cutoff FROM v GROUP BY rec)
+SELECT c.*, c.rec::VARCHAR AS source, '{render.REVIEW_STATUS}' AS status, false AS speaker_labels, 60.0::DOUBLE AS cutoff_seconds, '{render.REVIEW_NOTE}' AS postprocessing, k.id, k."start", k."end", k.text
+FROM c LEFT JOIN k ON c.rec = k.rec""")
 def review_payload_json(spark, d):
-    routed = review.route(fx.seg_dirty(spark, d).withColumn("avg_logprob", F.lit(None).cast("double")).withColumn("no_speech_prob", F.lit(None).cast("double")), CUTOFF)
-    return render.asr_json(review.kept(routed), review.counters(routed), CUTOFF, "cut")
+    none = F.lit(None).cast("double")
+    routed = review.route(fx.seg_dirty(spark, d).withColumn("avg_logprob", none).withColumn("no_speech_prob", none), CUTOFF)
+    docs = parsed(render.asr_json(review.kept(routed), review.counters(routed), CUTOFF), schema.REVIEW)
+    rows = docs.select("*", "rejected.*", F.explode_outer("segments").alias("s")).drop("segments", "rejected")
+    return rows.select("*", "s.id", "s.start", "s.end", "s.text").drop("s")
 
 
-@query()
+@query(f"""WITH {fx.SQL_SEG}, k AS (SELECT *, (row_number() OVER (PARTITION BY rec ORDER BY ord) - 1)::INTEGER AS pos FROM seg WHERE start_ms < {CUTOFF})
+SELECT rec, rec::VARCHAR AS source, '{render.DIARIZED_STATUS}' AS status, '{"|".join(review.MAPPED)}|{review.STARTED[0]}7.540{review.STARTED[1]}|{review.DISCARDED[0]}60.000{review.DISCARDED[1]}' AS notes,
+  pos, CASE WHEN ord = 0 THEN 7.54 ELSE start_ms / 1000.0 END::DOUBLE AS "start", end_ms / 1000.0::DOUBLE AS "end", speaker, speaker AS original_speaker_id, trim(text) AS text FROM k""")
 def diarized_payload_json(spark, d):
-    return render.diarized_json(review.diarized(fx.seg(spark, d), CUTOFF), ["cut"])
+    docs = parsed(render.diarized_json(review.diarized(fx.seg(spark, d), CUTOFF), review.notes(cutoff_ms=CUTOFF)), schema.DIARIZED)
+    return docs.select("rec", "source", "status", F.array_join("postprocessing", "|").alias("notes"), F.posexplode("segments").alias("pos", "s")).select("*", "s.*").drop("s")
 
 
-@query()
+@query(f"""{TAGGED_SQL}, n AS (SELECT rec, model_speaker_guess, count(*)::BIGINT AS n_guess FROM x GROUP BY ALL)
+SELECT rec, rec::VARCHAR AS source, '{render.TAGGED_STATUS}' AS status, '{render.TAGGED_WARNING}' AS warning, '7' AS chunk, 10.0::DOUBLE AS offset_seconds,
+  count(*) OVER (PARTITION BY rec)::BIGINT AS segment_count, id, relative_start, relative_end, relative_start + 10.0::DOUBLE AS absolute_start, relative_end + 10.0::DOUBLE AS absolute_end, model_speaker_guess, text, n_guess
+FROM x JOIN n USING (rec, model_speaker_guess)""")
 def tagged_payload_json(spark, d):
-    rows = tagged.extract(blobs(spark, d), chunk="1")
-    return render.tagged_json(rows, tagged.guess_list(tagged.guess_counts(rows)), "names are guesses")
+    texts = blobs(spark, d).withColumn("chunk", F.lit("7")).withColumn("offset_s", F.lit(10.0))
+    rows = tagged.extract(texts, F.col("offset_s"), F.col("chunk"))
+    docs = parsed(render.tagged_json(rows, tagged.guess_list(tagged.guess_counts(rows)), texts), schema.TAGGED)
+    out = docs.select("rec", "source", "status", "warning", "chunk", "offset_seconds", "segment_count", "speaker_guess_counts", F.explode("segments").alias("s"))
+    fields = ("id", "relative_start", "relative_end", "absolute_start", "absolute_end", "model_speaker_guess", "text")
+    return out.select("*", *[f"s.{c}" for c in fields], F.col("speaker_guess_counts")[F.col("s.model_speaker_guess")].alias("n_guess")).drop("s", "speaker_guess_counts")
+
+
+def _run(spark, d, turns: bool) -> tuple[DataFrame, DataFrame]:
+    """A run over every recording: its rows as a model source gives them, and the recordings."""
+    own = fx.turns(spark, d) if turns else fx.seg(spark, d).withColumn("speaker", F.lit(None).cast("string"))
+    rec = F.col("rec").cast("string")
+    number = F.dense_rank().over(Window.partitionBy("rec").orderBy("speaker")) - 1
+    text = [] if turns else ["text"]
+    rows = own.select(rec.alias("rec"), "ord", timefmt.to_seconds(F.col("start_ms")).alias("start"), timefmt.to_seconds(F.col("end_ms")).alias("end"), (number.cast("string") if turns else F.col("speaker")).alias("speaker"), *text)
+    once = rows.groupBy("rec").agg(F.max("end").alias("audio_s"))
+    run = once.select("rec", F.lit(1.5).alias("load_s"), (F.col("audio_s") / 8).alias("infer_s"), F.lit(2.0).alias("peak_gb"), F.lit(7).cast("bigint").alias("prompt_tokens"), F.lit(9).cast("bigint").alias("generation_tokens"))
+    return rows.unionByName(run, allowMissingColumns=True), once
+
+
+TIMES_SQL = """audio_duration_seconds, 1.5::DOUBLE AS load_seconds, audio_duration_seconds / 8 AS inference_seconds, 1.5 + audio_duration_seconds / 8 AS wall_seconds,
+  (audio_duration_seconds / 8) / audio_duration_seconds AS realtime_factor, audio_duration_seconds / (audio_duration_seconds / 8) AS realtime_speed, 2.0::DOUBLE AS peak_mlx_memory_gb"""
+
+
+@query(f"""WITH {fx.SQL_SEG}, r AS (SELECT rec, max(end_ms) / 1000.0::DOUBLE AS audio_duration_seconds, count(*)::BIGINT AS segment_count, string_agg(text, '' ORDER BY ord) AS text,
+  sum(start_ms / 1000.0::DOUBLE) AS sum_start, max(end_ms) / 1000.0::DOUBLE AS last_end FROM seg GROUP BY rec)
+SELECT rec::VARCHAR AS rec, 'whisper' AS mode, 'm' AS model, rec::VARCHAR AS audio, {TIMES_SQL}, 7::BIGINT AS prompt_tokens, 9::BIGINT AS generation_tokens, segment_count, text, round(sum_start, 3) AS sum_start, last_end FROM r""")
+def benchmark_payload_json(spark, d):
+    rows, files = _run(spark, d, False)
+    docs = parsed(render.benchmark_json(models.metrics(rows, files, "m", "whisper"), models.segments(rows), "recognition"), schema.BENCHMARK)
+    sums = F.aggregate("segments", F.lit(0.0), lambda a, s: a + s["start"])
+    return docs.select("rec", "metrics.*", "text", F.round(sums, 3).alias("sum_start"), F.array_max(F.transform("segments", lambda s: s["end"])).alias("last_end"))
+
+
+@query(f"""WITH {fx.SQL_TURNS}, n AS (SELECT *, (dense_rank() OVER (PARTITION BY rec ORDER BY speaker) - 1)::INTEGER AS s FROM turns),
+r AS (SELECT rec, max(end_ms) / 1000.0::DOUBLE AS audio_duration_seconds, count(*)::BIGINT AS segment_count, count(DISTINCT s)::BIGINT AS num_speakers FROM n GROUP BY rec)
+SELECT rec::VARCHAR AS rec, 'm' AS model, {TIMES_SQL}, num_speakers, segment_count, 0.5::DOUBLE AS threshold, 0.25::DOUBLE AS min_duration, 0.2::DOUBLE AS merge_gap,
+  n.start_ms / 1000.0::DOUBLE AS "start", n.end_ms / 1000.0::DOUBLE AS "end", n.s AS speaker FROM r JOIN n USING (rec)""")
+def diarization_payload_json(spark, d):
+    rows, files = _run(spark, d, True)
+    docs = parsed(render.benchmark_json(models.metrics(rows, files, "m"), models.segments(rows), "diarization"), schema.DIARIZATION)
+    return docs.select("rec", "metrics.*", F.explode("segments").alias("s")).select("*", "s.*").drop("s")
+
+
+@query(f"""WITH {fx.SQL_SEG}, w AS (SELECT rec, ord + 1 AS id, start_ms, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') AS words FROM seg WHERE trim(text) <> '')
+SELECT rec, rec || '.wav' AS audio, id, array_to_string(words, ' ') AS text, len(words)::INTEGER AS n_words, start_ms / 1000.0::DOUBLE AS first_start, words[-1] AS last_word FROM w""")
+def word_alignment_json(spark, d):
+    """Words timed a tenth of a second apart, nested by segment beside the name of their audio."""
+    seg = fx.seg(spark, d).withColumn("text", textnorm.collapse(F.col("text"))).where("text <> ''")
+    each = seg.select("rec", (F.col("ord") + 1).alias("id"), "start_ms", F.posexplode(F.split("text", " ")).alias("ord", "word"))
+    start = timefmt.to_seconds(F.col("start_ms")) + F.col("ord") * 0.1
+    words = each.select("rec", "id", "ord", "word", start.alias("start"), (start + 0.1).alias("end"))
+    audio = seg.select("rec").distinct().withColumn("audio", F.concat(F.col("rec").cast("string"), F.lit(".wav")))
+    docs = parsed(render.words_json(words, audio), schema.WORDS)
+    s = docs.select("rec", "audio", F.explode("segments").alias("s"))
+    return s.select("rec", "audio", "s.id", "s.text", F.size("s.words").alias("n_words"), F.col("s.words")[0]["start"].alias("first_start"), F.element_at("s.words", -1)["word"].alias("last_word"))
 
 
 # Intervals
@@ -420,10 +533,37 @@ def manifest_roundtrip(spark, d):
     return transcripts.chunks(docs)
 
 
-@query()
+@query(ORACLE_SQL["assign_speakers"].split("SELECT a.rec, a.ord, coalesce")[0] + """SELECT a.rec, (row_number() OVER (PARTITION BY a.rec ORDER BY a.ord) - 1)::INTEGER AS pos, a.start_ms / 1000.0::DOUBLE AS "start",
+ a.end_ms / 1000.0::DOUBLE AS "end", coalesce(r.r_speaker, 'UNKNOWN') AS speaker, 'event ' || a.ord AS text FROM a LEFT JOIN r ON a.rec = r.rec AND a.ord = r.ord AND r.n = 1""")
 def speaker_labelled_json(spark, d):
     t = fx.turns(spark, d).withColumn("text", F.concat(F.lit("event "), F.col("ord").cast("string")))
-    return render.labelled_json(intervals.assign_speakers(t.where("ord % 2 = 0"), t.where("ord % 2 = 1").drop("text")))
+    docs = parsed(render.labelled_json(intervals.assign_speakers(t.where("ord % 2 = 0"), t.where("ord % 2 = 1").drop("text"))), schema.LABELLED)
+    return docs.select("rec", F.posexplode("segments").alias("pos", "s")).select("rec", "pos", "s.*")
+
+
+@query(f"WITH {fx.SQL_TURNS} SELECT rec, ord, start_ms FROM turns WHERE start_ms >= 3600000 AND start_ms < 7200000")
+def window_restriction(spark, d):
+    return intervals.within(fx.turns(spark, d), 3_600_000, 7_200_000).select("rec", "ord", "start_ms")
+
+
+@query("SELECT event_id, event_type AS speaker, value / 500 AS score FROM events WHERE value / 500 >= 0.5")
+def activity_threshold(spark, d):
+    """Events as scored frames."""
+    frames = fx.read(spark, d, "events").select("event_id", F.col("event_type").alias("speaker"), (F.col("value") / 500).alias("score"))
+    return intervals.active(frames, 0.5)
+
+
+@query(f"{HEARD} SELECT rec, chunk, label, count(*)::BIGINT AS n, min(ord)::BIGINT AS first_ord FROM l GROUP BY rec, chunk, label")
+def chunk_guess_counts(spark, d):
+    return tagged.guess_counts(_labelled(spark, d), "label", "ord", ("rec", "chunk"))
+
+
+@query(f"""WITH {fx.SQL_TURNS}, u AS (SELECT rec, start_ms, max(end_ms) OVER (PARTITION BY rec ORDER BY start_ms, end_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lo_ms FROM turns)
+SELECT rec, lo_ms, start_ms AS hi_ms FROM u WHERE start_ms - lo_ms >= 60000""")
+def silence_source(spark, d):
+    """Gaps between turns as a detector would state them, in seconds."""
+    gaps = chunking.silences(fx.turns(spark, d), 60_000)
+    return chunking.stated_silences(gaps.select("rec", timefmt.to_seconds(F.col("lo_ms")).alias("start"), timefmt.to_seconds(F.col("hi_ms")).alias("end")))
 
 
 # Measurements
@@ -533,10 +673,16 @@ def loop_runs(spark, d):
     return quality.loop_runs(fx.doclines(spark, d))
 
 
-@query(f"{LOOPS} SELECT r.rec, r.first_ord, r.length FROM runs r JOIN (SELECT rec, max(ord) AS m FROM doclines GROUP BY rec) t ON r.rec = t.rec AND r.first_ord + r.length - 1 = t.m")
+@query(LOOPS.replace("x AS (SELECT *, lag", """ended AS (SELECT rec, ord, text FROM doclines UNION ALL
+  SELECT rec, m + i, 'and so on' FROM (SELECT rec, max(ord) AS m FROM doclines WHERE rec % 7 = 0 GROUP BY rec), range(1, 4 + rec % 3) r(i)), x AS (SELECT *, lag""").replace("FROM doclines),\ni", "FROM ended),\ni") + """
+SELECT r.rec, r.first_ord, r.length FROM runs r JOIN (SELECT rec, max(ord) AS m FROM ended GROUP BY rec) t ON r.rec = t.rec AND r.first_ord + r.length - 1 = t.m""")
 def tail_candidates(spark, d):
+    """Every seventh document ends in a line that is said three to five times."""
     rows = fx.doclines(spark, d)
-    return quality.tail_candidates(quality.loop_runs(rows), rows)
+    last = rows.where("rec % 7 = 0").groupBy("rec").agg(F.max("ord").alias("m"))
+    more = last.select("rec", F.explode(F.sequence(F.col("m") + 1, F.col("m") + 3 + F.col("rec") % 3)).alias("ord"), F.lit("and so on").alias("text"))
+    ended = rows.select("rec", "ord", "text").unionByName(more)
+    return quality.tail_candidates(quality.loop_runs(ended), ended)
 
 
 @query(f"WITH {fx.SQL_LINES} SELECT rec, text, count(*)::BIGINT AS n, min(ord)::BIGINT AS first_ord FROM doclines GROUP BY rec, text HAVING count(*) >= 3")
@@ -550,71 +696,64 @@ def reading_speed(spark, d):
     return quality.reading_speed(uneven).select("rec", "ord", "chars_per_s")
 
 
-# Disagreement of two runs: neighbouring documents stand for two models' texts of one window. The three queries with SQL
-# are samples that DuckDB can check (the heads of ASCII texts, for words with at most 90 distinct ones); the whole job is
-# done by the *_whole queries.
+# Disagreement of two runs: neighbouring documents stand for two models' texts of one recording. The first three queries compare
+# window by window, whole texts of all pairs in any script; the *_whole queries compare each two texts in one piece.
 
 
-def _pairs(spark, d, size: int) -> DataFrame:
-    docs = fx.read(spark, d, "documents").where(F.octet_length("text") == F.char_length("text"))
-    a = docs.where("doc_id % 2 = 0").select(F.lit("r").alias("rec"), (F.col("doc_id") / 2).cast("bigint").alias("window"), F.substring("text", 1, size).alias("text"))
-    b = docs.where("doc_id % 2 = 1").select(F.lit("r").alias("rec"), F.floor(F.col("doc_id") / 2).cast("bigint").alias("window"), F.substring("text", 1, size).alias("text"))
-    return disagree.pair(a, b)
+def _whole_pairs(spark, d) -> tuple[DataFrame, DataFrame]:
+    docs = fx.read(spark, d, "documents").select(F.lit("r").alias("rec"), F.floor(F.col("doc_id") / 2).cast("bigint").alias("window"), "doc_id", "text")
+    return docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 <> 0")
 
 
-PAIRS = """WITH t AS (SELECT doc_id, text FROM documents WHERE strlen(text) = length(text)),
-p AS (SELECT a.doc_id // 2 AS "window", a.text[1:{n}] AS text_a, b.text[1:{n}] AS text_b FROM t a JOIN t b ON a.doc_id % 2 = 0 AND b.doc_id = a.doc_id + 1)"""
+PAIRS = """WITH p AS (SELECT a.doc_id // 2 AS "window", coalesce(a.text, '') AS text_a, coalesce(b.text, '') AS text_b FROM documents a JOIN documents b ON a.doc_id % 2 = 0 AND b.doc_id = a.doc_id + 1)"""
+CHAR_SQL = PAIRS + """, c AS (SELECT "window", regexp_extract_all(text_a, '(?s).{1,45}') AS a, regexp_extract_all(text_b, '(?s).{1,45}') AS b FROM p),
+w AS (SELECT "window", unnest(range(greatest(len(a), len(b)))) AS part, a, b FROM c),
+v AS (SELECT "window", part, CASE WHEN part < len(a) THEN string_split(a[part + 1], '') ELSE [] END AS a, CASE WHEN part < len(b) THEN string_split(b[part + 1], '') ELSE [] END AS b FROM w),
+k AS (SELECT *, list_distinct(list_concat(a, b)) AS k FROM v),
+e AS (SELECT "window", part::INTEGER AS part, len(a)::BIGINT AS n_chars, levenshtein(array_to_string(list_transform(a, lambda x: chr((32 + list_position(k, x))::INTEGER)), ''),
+  array_to_string(list_transform(b, lambda x: chr((32 + list_position(k, x))::INTEGER)), ''))::BIGINT AS edits FROM k)"""
 
 
-@query(PAIRS.format(n=200) + """ SELECT "window", length(text_a)::BIGINT AS n_chars, levenshtein(text_a, text_b)::BIGINT AS edits,
- levenshtein(text_a, text_b)::DOUBLE / nullif(length(text_a), 0) AS disagreement FROM p""")
+@query(CHAR_SQL + """ SELECT "window", part, n_chars, edits, CASE WHEN n_chars > 0 THEN edits::DOUBLE / n_chars END AS disagreement FROM e""")
 def char_disagreement(spark, d):
-    return disagree.by_characters(_pairs(spark, d, 200)).select("window", "n_chars", "edits", "disagreement")
-
-
-WORDS = """regexp_split_to_array(trim(regexp_replace(regexp_replace(lower(x), '[\\p{P}\\p{S}]', '', 'g'), '\\s+', ' ', 'g')), ' ')"""
-WORD_SQL = PAIRS.format(n=240) + f""", w AS (SELECT "window", list_filter({WORDS.replace('(x)', '(text_a)')}, lambda x: x <> '') AS a, list_filter({WORDS.replace('(x)', '(text_b)')}, lambda x: x <> '') AS b FROM p),
-v AS (SELECT *, list_sort(list_distinct(list_concat(a, b))) AS k FROM w WHERE len(list_distinct(list_concat(a, b))) <= 90),
-e AS (SELECT "window", len(a)::BIGINT AS n_words, levenshtein(array_to_string(list_transform(a, lambda x: chr((33 + list_position(k, x))::INTEGER)), ''), array_to_string(list_transform(b, lambda x: chr((33 + list_position(k, x))::INTEGER)), ''))::BIGINT AS edits FROM v)"""
+    return disagree.windows_by_characters(disagree.char_windows(*_whole_pairs(spark, d))).select("window", "part", "n_chars", "edits", "disagreement")
 
 
-def _word_rows(spark, d) -> DataFrame:
-    """Windows whose two texts have at most 90 distinct words: the SQL side has as many printable ASCII letters."""
-    a, b = textnorm.words(F.col("text_a")), textnorm.words(F.col("text_b"))
-    return disagree.by_words(_pairs(spark, d, 240).where(F.size(F.array_distinct(F.concat(a, b))) <= 90))
+WORDS = """list_filter(regexp_split_to_array(trim(regexp_replace(regexp_replace(lower({}), '[\\p{{P}}\\p{{S}}]', '', 'g'), '\\s+', ' ', 'g')), ' '), lambda x: x <> '')"""
+WORD_SQL = PAIRS + f""", c AS (SELECT "window", {WORDS.format('text_a')} AS a, {WORDS.format('text_b')} AS b FROM p),
+w AS (SELECT "window", unnest(range((greatest(len(a), len(b)) + 44) // 45)) AS part, a, b FROM c),
+v AS (SELECT "window", part, a[45 * part + 1 : 45 * part + 45] AS a, b[45 * part + 1 : 45 * part + 45] AS b FROM w),
+k AS (SELECT *, list_distinct(list_concat(a, b)) AS k FROM v),
+e AS (SELECT "window", part::INTEGER AS part, len(a)::BIGINT AS n_words, levenshtein(array_to_string(list_transform(a, lambda x: chr((32 + list_position(k, x))::INTEGER)), ''),
+  array_to_string(list_transform(b, lambda x: chr((32 + list_position(k, x))::INTEGER)), ''))::BIGINT AS edits FROM k)"""
 
 
-@query(WORD_SQL + """ SELECT "window", n_words, edits, CASE WHEN n_words > 0 THEN edits::DOUBLE / n_words END AS disagreement FROM e""")
+@query(WORD_SQL + """ SELECT "window", part, n_words, edits, CASE WHEN n_words > 0 THEN edits::DOUBLE / n_words END AS disagreement FROM e""")
 def word_disagreement(spark, d):
-    return _word_rows(spark, d).select("window", "n_words", "edits", "disagreement")
+    return disagree.windows_by_words(disagree.word_windows(*_whole_pairs(spark, d))).select("window", "part", "n_words", "edits", "disagreement")
 
 
 @query(WORD_SQL + """, r AS (SELECT 'r' AS rec, edits, n_words FROM e) SELECT rec, sum(edits)::BIGINT AS edits, sum(n_words)::BIGINT AS n_words, sum(edits)::DOUBLE / sum(n_words) AS disagreement FROM r GROUP BY ROLLUP (rec)""")
 def disagreement_total(spark, d):
-    return disagree.total(_word_rows(spark, d))
+    return disagree.total(disagree.windows_by_words(disagree.word_windows(*_whole_pairs(spark, d))))
 
 
-# The whole job: all pairs of neighbouring documents, whole texts, any script. DuckDB cannot follow, so there is no SQL.
-
-
-def _whole_pairs(spark, d) -> DataFrame:
-    docs = fx.read(spark, d, "documents").select(F.lit("r").alias("rec"), F.floor(F.col("doc_id") / 2).cast("bigint").alias("window"), "doc_id", "text")
-    return disagree.pair(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 <> 0"))
+# In one piece: DuckDB cannot follow, so there is no SQL.
 
 
 @query()
 def char_disagreement_whole(spark, d):
-    return disagree.by_characters(_whole_pairs(spark, d)).select("window", "n_chars", "edits", "disagreement")
+    return disagree.by_characters(disagree.pair(*_whole_pairs(spark, d))).select("window", "n_chars", "edits", "disagreement")
 
 
 @query()
 def word_disagreement_whole(spark, d):
-    return disagree.by_words(_whole_pairs(spark, d)).select("window", "n_words", "edits", "disagreement")
+    return disagree.by_words(disagree.pair(*_whole_pairs(spark, d))).select("window", "n_words", "edits", "disagreement")
 
 
 @query()
 def disagreement_total_whole(spark, d):
-    return disagree.total(disagree.by_words(_whole_pairs(spark, d)))
+    return disagree.total(disagree.by_words(disagree.pair(*_whole_pairs(spark, d))))
 
 
 @query("""SELECT conv_id AS rec, turn, length(regexp_replace(regexp_replace(lower(text), '[\\p{P}\\p{S}]', '', 'g'), '\\s+', '', 'g'))::BIGINT AS n FROM conversations""")

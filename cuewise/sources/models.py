@@ -7,10 +7,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+if TYPE_CHECKING:
+    import pyarrow as pa
 
 # Parameters of the two recognition modes and of diarization.
 MODES = {
@@ -19,41 +23,80 @@ MODES = {
 }
 DIARIZATION = {"threshold": 0.5, "min_duration": 0.25, "merge_gap": 0.2}
 
-ROWS = "rec string, ord bigint, start double, end double, speaker string, text string, avg_logprob double, no_speech_prob double, load_s double, infer_s double"
+#: One row per segment, and one with ord null per file, which holds what is known of the run as a whole.
+ROWS = (
+    "rec string, ord bigint, id bigint, start double, end double, speaker string, speaker_id string, text string, temperature double, avg_logprob double, "
+    "compression_ratio double, no_speech_prob double, load_s double, infer_s double, peak_gb double, prompt_tokens bigint, generation_tokens bigint"
+)
+_RUN = ("load_s", "infer_s", "peak_gb", "prompt_tokens", "generation_tokens")
+
 
+def infer(files: DataFrame, factory: Callable[[], Callable[[bytes, dict], list[dict] | dict]], options: dict) -> DataFrame:
+    """files: path, content (as of binaryFile). The model gets the bytes and the options and gives segments, or a dict of
+    segments, text, prompt_tokens, generation_tokens and peak_gb. A file without segments has its run's row."""
+    schema = T.StructType.fromDDL(ROWS)
 
-def infer(files: DataFrame, factory: Callable[[], Callable[[bytes, dict], list[dict]]], options: dict) -> DataFrame:
-    """files: path, content (as of binaryFile). The model gets the bytes and the options and gives segments."""
-    names = [f.split()[0] for f in ROWS.split(", ")]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         began = time.perf_counter()
         model = factory()
         load = time.perf_counter() - began
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 t = time.perf_counter()
                 found = model(content, options)
                 took = time.perf_counter() - t
-                rows = [{**s, "rec": path, "ord": i, "load_s": load, "infer_s": took} for i, s in enumerate(found)]
-                yield pd.DataFrame(rows, columns=names)
+                found = {"segments": found} if isinstance(found, list) else found
+                own = {"rec": path, "text": found.get("text"), "load_s": load, "infer_s": took, "peak_gb": found.get("peak_gb")}
+                own |= {c: found.get(c) or 0 for c in ("prompt_tokens", "generation_tokens")}
+                rows = [own, *({**s, "rec": path, "ord": i, "speaker": None if s.get("speaker") is None else str(s["speaker"])} for i, s in enumerate(found.get("segments") or []))]
+                yield pa.RecordBatch.from_pylist([{f.name: r.get(f.name) for f in schema} for r in rows], schema=to_arrow_schema(schema))
+
+    return files.select("path", "content").mapInArrow(run, ROWS)
+
 
-    return files.select("path", "content").mapInPandas(run, ROWS)
+def segments(rows: DataFrame) -> DataFrame:
+    """The segments of a run."""
+    return rows.where("ord is not null").drop(*_RUN)
 
 
 def recognise(files: DataFrame, factory, mode: str, prompt: str = "", **options) -> DataFrame:
-    """An empty prompt counts as none."""
-    return infer(files, factory, MODES[mode] | {"prompt": prompt or None} | options)
+    """One mode takes the prompt as it is, the other as initial_prompt, where an empty one counts as none."""
+    own = {"prompt": prompt} if mode == "moss" else {"initial_prompt": prompt or None}
+    return infer(files, factory, MODES[mode] | own | options)
 
 
 def diarize(files: DataFrame, factory, **options) -> DataFrame:
+    """Segments have a numbered speaker."""
     return infer(files, factory, DIARIZATION | options)
 
 
-def metrics(rows: DataFrame, files: DataFrame, model: str, mode: str) -> DataFrame:
-    """One row per recording: real-time factor and speed. files: rec, audio_s."""
-    each = rows.groupBy("rec").agg(F.count(F.lit(1)).alias("segment_count"), F.max("load_s").alias("load_s"), F.max("infer_s").alias("infer_s"), F.countDistinct("speaker").alias("num_speakers"))
-    return with_speed(files.join(each, "rec").withColumn("model", F.lit(model)).withColumn("mode", F.lit(mode)).withColumn("wall_s", F.col("load_s") + F.col("infer_s")))
+def metrics(rows: DataFrame, files: DataFrame, model: str, mode: str | None = None, options: dict | None = None) -> DataFrame:
+    """One row per recording of files (rec, audio_s), also without segments: all fields of the run's JSON document.
+
+    mode: of a recognition; None for a diarization, whose options are told instead.
+    """
+    run = rows.where("ord is null").select("rec", *_RUN)
+    each = rows.where("ord is not null").groupBy("rec").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("speaker").alias("speakers"))
+    j = files.select("rec", "audio_s").join(run, "rec", "left").join(each, "rec", "left")
+    out = with_speed(j).select(
+        "rec",
+        F.lit(model).alias("model"),
+        F.col("audio_s").alias("audio_duration_seconds"),
+        F.col("load_s").alias("load_seconds"),
+        F.col("infer_s").alias("inference_seconds"),
+        (F.col("load_s") + F.col("infer_s")).alias("wall_seconds"),
+        F.col("rtf").alias("realtime_factor"),
+        F.col("speed").alias("realtime_speed"),
+        F.col("peak_gb").alias("peak_mlx_memory_gb"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("segment_count"),
+        *([F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("prompt_tokens", "generation_tokens")] if mode else [F.coalesce("speakers", F.lit(0)).cast("bigint").alias("num_speakers")]),
+    )
+    if mode:
+        return out.withColumn("mode", F.lit(mode)).withColumn("audio", F.col("rec").cast("string"))
+    return out.withColumns({c: F.lit(float(v)) for c, v in (DIARIZATION | (options or {})).items()})
 
 
 def with_speed(df: DataFrame) -> DataFrame:

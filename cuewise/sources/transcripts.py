@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import timefmt, urls
+from ..operators import chunking
 
 
 def documents(spark: SparkSession, path: str, kind=schema.TRANSCRIPT) -> DataFrame:
@@ -14,17 +15,23 @@ def documents(spark: SparkSession, path: str, kind=schema.TRANSCRIPT) -> DataFra
     return spark.read.schema(kind).option("multiLine", True).json(path).withColumn("rec", F.col("_metadata.file_path"))
 
 
+def _needed(value: Column, name: str) -> Column:
+    return F.when(value.isNull(), F.raise_error(F.concat(F.lit(f"no {name} in "), F.col("rec").cast("string")))).otherwise(value)
+
+
 def diarized_segments(docs: DataFrame) -> DataFrame:
-    """segments must be there: a document without it fails the query."""
-    there = F.when(F.col("segments").isNull(), F.raise_error(F.concat(F.lit("no segments in "), F.col("rec")))).otherwise(F.col("segments"))
-    rows = docs.select("rec", F.posexplode(there).alias("ord", "s"))
+    """segments must be there, and in each of them start, end and text: a document without fails the query."""
+    rows = docs.select("rec", F.posexplode(_needed(F.col("segments"), "segments")).alias("ord", "s"))
+    start, end = _needed(F.col("s.start"), "start"), _needed(F.col("s.end"), "end")
     return rows.select(
         "rec",
         F.col("ord").cast("bigint").alias("ord"),
-        timefmt.to_ms(F.col("s.start")).alias("start_ms"),
-        timefmt.to_ms(F.col("s.end")).alias("end_ms"),
+        timefmt.to_ms(start).alias("start_ms"),
+        timefmt.to_ms(end).alias("end_ms"),
+        start.alias("start_s"),
+        end.alias("end_s"),
         F.coalesce("s.speaker_id", F.lit("UNKNOWN")).alias("speaker"),
-        "s.text",
+        _needed(F.col("s.text"), "text").alias("text"),
     )
 
 
@@ -32,16 +39,19 @@ def asr_segments(docs: DataFrame) -> DataFrame:
     """Without segments there are no rows. Missing times are 0 and a missing text is empty; a time that is NaN stays null,
     for the router to reject."""
 
-    def ms(c: str) -> Column:
-        return F.when(F.isnan(c), None).otherwise(timefmt.to_ms(F.coalesce(F.col(c), F.lit(0.0))))
+    def seconds(c: str) -> Column:
+        return F.when(F.isnan(c), None).otherwise(F.coalesce(F.col(c), F.lit(0.0)))
 
     empty = F.array().cast(f"array<{schema.SEGMENT}>")
     rows = docs.select("rec", F.posexplode(F.coalesce("segments", empty)).alias("ord", "s"))
+    start, end = seconds("s.start"), seconds("s.end")
     return rows.select(
         "rec",
         F.col("ord").cast("bigint").alias("ord"),
-        ms("s.start").alias("start_ms"),
-        ms("s.end").alias("end_ms"),
+        timefmt.to_ms(start).alias("start_ms"),
+        timefmt.to_ms(end).alias("end_ms"),
+        start.alias("start_s"),
+        end.alias("end_s"),
         F.coalesce("s.text", F.lit("")).alias("text"),
         "s.avg_logprob",
         "s.no_speech_prob",
@@ -49,9 +59,27 @@ def asr_segments(docs: DataFrame) -> DataFrame:
 
 
 def tagged_texts(docs: DataFrame) -> DataFrame:
+    """Documents of tagged text for tagged.extract; without text there are no records."""
     return docs.select("rec", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def silences(spark: SparkSession, path: str) -> DataFrame:
+    """What a silence detector found, one JSON document a recording: rec, lo_ms, hi_ms."""
+    rows = documents(spark, path, schema.SILENCES).select("rec", F.explode("silences").alias("s")).select("rec", "s.*")
+    return chunking.stated_silences(rows)
+
+
+def recordings(spark: SparkSession, path: str) -> DataFrame:
+    """What a media probe found, one JSON document a recording: rec, duration_ms, sample_rate, channels, codec."""
+    rows = documents(spark, path, schema.RECORDING)
+    return rows.select("rec", timefmt.to_ms(F.col("duration")).alias("duration_ms"), "sample_rate", "channels", "codec")
+
+
+def to_resample(recordings: DataFrame, rate: int = 16_000, channels: int = 1) -> DataFrame:
+    """Recordings that are not yet at the rate and number of channels that models take."""
+    return recordings.where(~(F.col("sample_rate").eqNullSafe(rate) & F.col("channels").eqNullSafe(channels)))
+
+
 def turns(spark: SparkSession, path: str) -> DataFrame:
     """Diarization turns; a speaker given as a number reads as text."""
     rows = documents(spark, path, schema.TURNS).select("rec", F.posexplode("segments").alias("ord", "s"))

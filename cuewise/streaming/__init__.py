@@ -1 +1 @@
-"""No streaming operators: the capability set has none. Windows, gaps and cutoffs are batch operators in cuewise.operators."""
+"""Transcripts as streams: new documents in a folder are routed as they come."""
