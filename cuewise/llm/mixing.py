@@ -7,7 +7,8 @@ is kept, and only that bucket is split by the following 12 bits, until it holds
 budgets are nested, and reruns agree since the hash depends on the key alone.
 
 Defined results: a null text has size 0; a null source is a source of its own and comes last; sources without
-words get target 0; an empty table gives an empty mix; rows with one key share one hash, so they are taken or left
+words get target 0; an empty table gives an empty mix; texts of any length are counted whole; of two thresholds equally
+near the budget the smaller wins; rows with one key share one hash, so they are taken or left
 together; columns other than the key, source and text are not read.
 """
 
@@ -74,7 +75,9 @@ def targets(spark: SparkSession, sized: DataFrame, weights: tuple[int, ...] = WE
     """source, total, target. The sum of all sizes is shared by weight; no target is above most times its total.
 
     With a set of capped sources fixed, every other target is weight * level; sources above their cap join the
-    set until none is above.
+    set until none is above. Each round is one aggregate over the written table of sources and caps one source more at least,
+    so there are no more rounds than sources; as the level follows a concave line of pieces, it is a handful in practice
+    (each round that caps anything raises the level, and only sources between the old level and the new one remain).
     """
     ranks = ranked(spark, sized.groupBy("source").agg(F.sum("size").alias("total")))
     weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))

@@ -97,3 +97,25 @@ def test_components_of_a_long_chain(spark):
     got = {r["id"]: r["comp"] for r in neardup.components(edges).collect()}
     assert got == {**dict.fromkeys(range(n + 1), 0), 100: 100, 101: 100}
     assert neardup.components(edges.limit(0)).count() == 0
+
+
+def test_overlaps_equal_plain_intersections(monkeypatch):
+    monkeypatch.setattr(neardup, "CELLS", 3000)
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 900, rng.integers(1, 400)).astype(np.uint64)) for _ in range(14)]
+    got = neardup._overlaps(sets[:6], sets[6:])
+    assert (got == [[len(np.intersect1d(a, b)) for b in sets[6:]] for a in sets[:6]]).all()
+    assert neardup._overlaps([np.asarray([1], np.uint64)], [np.asarray([2], np.uint64)]).tolist() == [[0]]
+
+
+def test_heavy_groups_and_very_long_texts(spark, docs_of, monkeypatch):
+    """Every heavy key is dealt apart: exact copies, a band and a hub that hold a third of the rows; texts of 20,000 words."""
+    from cuewise.llm import common
+
+    monkeypatch.setattr(common, "HEAVY", 20)
+    monkeypatch.setattr(common, "MANY", 10)
+    rnd = random.Random(13)
+    base, long = text(rnd, 120), [f"l{rnd.randrange(5000)}" for _ in range(20_000)]
+    rows = [(i, " ".join(varied(rnd, base, rnd.choice((0, 1, 1, 2, 3))))) for i in range(120)] + [(1000 + i, " ".join(base)) for i in range(100)]
+    rows += [(2000 + i, " ".join(varied(rnd, long, 300 * i))) for i in range(4)] + [(3000 + i, "") for i in range(60)] + [(4000 + i, " ".join(text(rnd, 40))) for i in range(30)]
+    check(spark, docs_of, rows)

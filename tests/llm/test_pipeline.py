@@ -3,7 +3,9 @@
 import random
 
 import corpus_pipeline
+import pytest
 from cuewise.llm import mixing, neardup, queries, secrets
+from pyspark.sql import functions as F
 
 
 def rows():
@@ -87,3 +89,99 @@ def test_documents_stay_where_no_language_is_known(spark, docs_of):
     docs = docs_of([(i, t, None, "s") for i, t in enumerate(texts)])
     got = corpus_pipeline.language_stage(spark, docs, "")
     assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [0, 1, 5]
+
+
+CLASHES = ("row", "id", "d", "h", "n", "t", "words", "lang_pred", "score", "_source", "_last", "_gone", "_h", "_n", "_copy", "_row", "_whole", "k1", "component_id", "kept", "count")
+
+
+def odd(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, and columns of the stages' own names."""
+    rows = [(1, "the cat sat on the mat today", "en", "a", 28), (1, "the cat sat on the mat today", "en", "a", 28), (2, None, None, None, None), (3, "", "en", "a", 0), (4, "123", None, "b", 3),
+            (5, "word " * 40_000, None, "b", None), (6, "une autre phrase token=abcdef123456", None, None, 35), (None, "sans nom ici", "fr", "b", 12)]
+    rows += [(10 + i, f"the dog number {i} ran over hill {i * 7} and far away", "en", "a", 1) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in CLASHES})
+
+
+def extras(r):
+    return tuple(r[c] for c in CLASHES)
+
+
+def test_every_stage_with_odd_rows(spark):
+    docs = odd(spark)
+    want = [r.asDict() for r in docs.collect()]
+    own = {r["doc_id"]: extras(r) for r in want}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, "")
+        got = out.collect()
+        assert out.columns == docs.columns and all(extras(r) == own[r["doc_id"]] for r in got), name
+        ids = sorted((r["doc_id"] for r in got), key=str)
+        if name == "language_id":
+            assert ids == sorted((r["doc_id"] for r in want if r["text"] and any(map(str.isalpha, r["text"]))), key=str)
+            assert all(r["lang"] is not None for r in got) and {r["lang"] for r in got if r["doc_id"] in (1, None)} == {"en", "fr"}
+        elif name == "near_dedup":
+            assert ids == sorted({str(r["doc_id"]): r["doc_id"] for r in want}.values(), key=str)
+        elif name == "secret_scans":
+            assert len(got) == len(want)
+            for r in got:
+                before = next(w for w in want if w["doc_id"] == r["doc_id"])
+                assert r["text"] == (before["text"] and before["text"].replace("token=abcdef123456", "[REDACTED]"))
+                assert r["n_chars"] == (len(r["text"]) if r["text"] is not None else before["n_chars"])
+        else:
+            n = {(r["doc_id"], r["size"]): r["copies"] for r in mixing.mix(docs).collect()}
+            assert ids == sorted((w["doc_id"] for w in want if w["text"] and w["text"].split() for _ in range(n[w["doc_id"], len(w["text"].split())])), key=str)
+    pieces = corpus_pipeline.packing_stage(spark, docs, "").collect()
+    whole = {}
+    for r in pieces:
+        whole[r["doc_id"]] = whole.get(r["doc_id"], 0) + r["length"]
+    assert whole[2] == whole[3] == 1 and whole[5] > 2048 and whole[1] == 2 * next(r["doc_tokens"] for r in pieces if r["doc_id"] == 1)
+
+
+def test_texts_under_one_id_are_told_apart(spark, docs_of):
+    """A text goes only if its own group has another member that stays."""
+    a, b, c = (f"{x} one two three four five six seven eight nine ten" for x in "abc")
+    rows = [(7, a), (7, b), (5, a), (9, b), (11, c), (11, c), (12, None), (12, ""), (None, c)]
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.dedup_stage(spark, docs_of(rows), "").collect()), key=str)
+    assert got == sorted([(5, a), (7, b), (11, c), (12, None), (12, ""), (None, c)], key=str)
+
+
+def test_a_missing_language_is_filled_in(spark, docs_of):
+    rows = [(i, t, lang, "s") for i in range(30) for t, lang in (("the cat and the dog", "en"), ("le chien et le chat noir", "fr"))]
+    got = corpus_pipeline.language_stage(spark, docs_of(rows + [(100, "the dog and cat", None, "s"), (101, "le chat et chien", None, "s"), (102, "le chat", "en", "s")]), "").collect()
+    assert {r["doc_id"]: r["lang"] for r in got if r["doc_id"] >= 100} == {100: "en", 101: "fr", 102: "en"}
+
+
+def test_tables_of_a_stage_go(spark, docs_of):
+    from cuewise.llm import common
+
+    with common.scratch(spark) as keep:
+        one, two = common.table(docs_of([(1, "a")]), "one"), keep(common.table(docs_of([(2, "b")]), "two"))
+    assert two.count() == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FILE_NOT_EXIST"):
+        spark.read.parquet(one.scratch).count()
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from cuewise.llm import common
+
+    class Conf:
+        get = staticmethod(lambda name, default: default)
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"applicationId": "app-none", "master": "spark://far:7077"})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(Session())
+
+
+def test_heavy_keys_join_like_others(spark, monkeypatch):
+    from cuewise.llm import common
+
+    monkeypatch.setattr(common, "MANY", 5)
+    left = spark.range(300).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN 8 ELSE id END AS k")
+    right = spark.createDataFrame([(7, "seven"), (2, "two"), (5, None)], "k long, name string")
+    for how in ("inner", "left"):
+        got = common.skew_join(common.table(left, "left"), common.table(right, "right"), ["k"], how)
+        want = left.join(right, ["k"], how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

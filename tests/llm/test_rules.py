@@ -56,8 +56,21 @@ def test_sql_gives_the_same(spark, docs_of, tmp_path):
 
 
 def test_no_python_in_the_plan(spark, docs_of):
-    plan = rules.judge(docs_of(CASES))._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan.split("Physical Plan")[1]
+    for df in (rules.ledger(docs_of(CASES)), rules.judge(docs_of(CASES))):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan.split("Physical Plan")[1]
+
+
+def test_versions_of_a_policy(spark, docs_of):
+    """One stored ledger, two versions: repeated lines fail a text at more than 30 % of them, or only if they are most."""
+    line = lambda i: f"line {i} of words that differ in every text and are many enough"
+    rows = [(n, "\n".join([line(i) for i in range(10 - n)] + ["same words in this line of the text here"] * n)) for n in (1, 3, 4, 5, 6, 7)]
+    got = {r["doc_id"]: (r["n_dup_lines"], r["kept"], r["kept_by_version_1"]) for r in rules.judge(docs_of(rows)).collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: 0, 3: 2, 4: 3, 5: 4, 6: 5, 7: 6}
+    assert {k for k, v in got.items() if v[2]} <= {1, 3, 4} and all(v[1] or not v[2] for v in got.values())
+    both = rules.all_ablations(docs_of(rows)).collect()
+    assert len(both) == 14 and {r["version"] for r in both} == {"production-1", "production-2"}
+    assert rules.all_ablations(docs_of([])).count() == 0
 
 
 def test_ablations_are_what_the_masks_say(spark, docs_of):

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -100,3 +101,30 @@ def test_round_trip_in_key_order(spark, docs_of, whole, monkeypatch):
 def test_empty_table(spark, docs_of):
     assert packing.pack(docs_of([]), tokenizer_path()).count() == 0
     assert dac.round_trip(docs_of([]), tokenizer_path()).count() == 0
+
+
+def test_few_windows_are_open_at_a_time():
+    """Bounded windows: every id in one piece, whole windows or powers of two, and most of them closed before the end."""
+    rnd = random.Random(4)
+    for n, most in ((300, 16), (1500, 64), (200, 1)):
+        docs = [(i, np.arange(max(1, int(rnd.lognormvariate(5.5, 1.3))), dtype="<u4").tobytes()) for i in range(n)]
+        seen, late, read = {}, 0, []
+        stream = packing.pack_stream((read.append(k) or (k, ids) for k, ids in docs), 2048, most)
+        for window in stream:
+            late += len(read) == n and window[0][0] != n - 1
+            at = 0
+            for key, start, ids, total, offset in window:
+                assert offset == at and total == len(dict(docs)[key]) // 4
+                at += len(ids) // 4
+                seen.setdefault(key, {})[start] = ids
+            assert at == 2048 or at & (at - 1) == 0
+        assert all(b"".join(own[s] for s in sorted(own)) == dict(docs)[k] for k, own in seen.items()) and len(seen) == n
+        assert late <= most + 12
+
+
+def test_first_and_last_ids_by_rank(spark, docs_of):
+    rows = [(i, "a few words and Straße " * i) for i in range(12)] + [(3, None)]
+    got = dac.round_trip(docs_of(rows), tokenizer_path()).collect()
+    assert len(got) == 13 and all(r["last_id"] == 1 for r in got)
+    first = WordIds(tokenizer_path()).text(b"a few words and Stra\xc3\x9fe")
+    assert all(r["first_id"] == (1 if r["n_tokens"] == 1 else int.from_bytes(first[:4], "little")) for r in got)

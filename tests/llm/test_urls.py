@@ -61,3 +61,19 @@ def test_empty_tables(spark):
 
 def test_rules_are_read_from_lines():
     assert urls.parse_rule("block example.com/en/") == urls.Rule("block", "example.com", "/en/")
+
+
+def test_rules_that_tie_and_long_urls(spark):
+    """Rules with one host and path: the verdict that comes last in the alphabet; urls of any length."""
+    rules = (urls.Rule("block", "a.org", "/x"), urls.Rule("allow", "a.org", "/x"), urls.Rule("allow", "org", "/" + "y" * 3000))
+    pages = [(1, "http://a.org/x"), (2, "http://b.org/" + "y" * 100_000), (3, "http://" + "s." * 20_000 + "a.org/x"), (4, None), (1, "http://a.org/x")]
+    got = sorted((r["page_id"], r["rule"] and len(r["rule"]), r["verdict"]) for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string"), rules, default="none").collect())
+    assert got == [(1, 7, "block"), (1, 7, "block"), (2, 3004, "allow"), (3, 7, "block"), (4, None, "none")]
+
+
+def test_ranges_are_dealt_evenly(spark):
+    """One range a task."""
+    pages = spark.range(4000).selectExpr("id AS page_id", "concat('http://h', id % 97, '.example.com/', id) AS url")
+    out = urls.judge(pages, ranges=16)
+    sizes = sorted(r[0] for r in out.rdd.mapPartitions(lambda rows: [(sum(1 for _ in rows),)]).collect())
+    assert len(sizes) == 16 and sizes[0] > 0 and sizes[-1] < 2.5 * 4000 / 16
