@@ -37,8 +37,8 @@ def has_timecode(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-cased words without punctuation and symbols."""
-    bare = collapse(F.regexp_replace(F.lower(text), r"[\p{P}\p{S}]", ""))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, " "))
+    bare = F.regexp_replace(F.lower(text), r"[\p{P}\p{S}]+", "")
+    return F.filter(F.split(bare, f"{SPACE}+"), lambda w: w != "")
 
 
 def uncertain_count(text: Column) -> Column:

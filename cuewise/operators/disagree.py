@@ -14,6 +14,11 @@ def pair(first: DataFrame, second: DataFrame, on: tuple[str, ...] = ("rec", "win
     return a.join(second.select(*on, F.col("text").alias("text_b")), list(on))
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value) with value computed once for a row, also where use() refers to it for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def char_windows(first: DataFrame, second: DataFrame, size: int = 45, on: tuple[str, ...] = ("rec", "window")) -> DataFrame:
     """Whole texts cut into windows of `size` characters, the same places of both side by side: on, part, text_a, text_b.
 
@@ -28,11 +33,13 @@ def char_windows(first: DataFrame, second: DataFrame, size: int = 45, on: tuple[
 def word_windows(first: DataFrame, second: DataFrame, size: int = 45, on: tuple[str, ...] = ("rec", "window")) -> DataFrame:
     """As char_windows, for the normal forms of words: on, part, words_a, words_b."""
 
-    def cut(c: str) -> Column:
-        w = textnorm.words(F.coalesce(F.col(c), F.lit("")))
+    def pieces(w: Column) -> Column:
         starts = F.when(F.size(w) > 0, F.sequence(F.lit(1), F.size(w), F.lit(size))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.slice(w, i, size))
 
+    def cut(c: str) -> Column:
+        return _bound(textnorm.words(F.coalesce(F.col(c), F.lit(""))), pieces)
+
     none = F.array().cast("array<string>")
     both = F.arrays_zip(cut("text_a").alias("a"), cut("text_b").alias("b"))
     rows = pair(first, second, on).select(*on, F.posexplode(both).alias("part", "w"))
@@ -46,11 +53,8 @@ def windows_by_characters(windows: DataFrame) -> DataFrame:
 
 
 def windows_by_words(windows: DataFrame) -> DataFrame:
-    """Edits of each window, without Python: a window of 45 words on both sides has at most 90 distinct ones, and each becomes
-    a letter."""
-    of = F.array_distinct(F.concat("words_a", "words_b"))
-    letters = lambda c: F.array_join(F.transform(c, lambda w: F.char(F.array_position(of, w) + 32)), "")
-    rows = windows.withColumn("n_words", F.size("words_a").cast("bigint")).withColumn("edits", F.levenshtein(letters("words_a"), letters("words_b")).cast("bigint"))
+    """Edits of each window, by Arrow: no built-in function has a distance of arrays."""
+    rows = windows.withColumn("n_words", F.size("words_a").cast("bigint")).withColumn("edits", distance.word_edits(F.col("words_a"), F.col("words_b")))
     return rows.withColumn("disagreement", distance.disagreement(F.col("edits"), F.col("n_words")))
 
 
