@@ -53,6 +53,8 @@ def test_sql_gives_the_same(spark, docs_of, tmp_path):
     want = c.sql(rules.ORACLE)
     order = sorted(want.columns)
     assert sorted(tuple(r[k] for k in order) for r in got.collect()) == sorted(tuple(dict(zip(want.columns, r, strict=True))[k] for k in order) for r in want.fetchall())
+    want = c.sql(rules.ABLATIONS_ORACLE)
+    assert sorted(tuple(r[k] for k in want.columns) for r in rules.all_ablations(df).collect()) == sorted(want.fetchall())
 
 
 def test_no_python_in_the_plan(spark, docs_of):
