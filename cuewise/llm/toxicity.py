@@ -1,6 +1,6 @@
 """Toxicity: a learned lexicon, met with Levenshtein automata, and scores of the words around each hit.
 
-The lexicon holds words and, beside them, stems (heads of 4 to 10 letters) that labelled toxic texts hold and others
+The lexicon holds words and, beside their common forms, stems (heads of 4 to 10 letters) that labelled toxic texts hold and others
 do not, by the lower end of Wilson's interval and beyond what chance gives among so many words; as many as pass that test.
 It is kept as a trie. A word is looked up by walking the trie and the word's Levenshtein automaton together: a state
 is the row of edit distances so far, branches whose least distance is above the limit are cut, and a stem may end anywhere
@@ -17,7 +17,7 @@ rows that the caller has cut off from held-out ones; scoring reads whole texts a
 
 Defined results: null and empty texts have no hits and get the score of such texts; rows without a label are scored
 like others; without any label 1 every score is 0; a label row that is repeated counts once; an id, or a text, that has
-both labels is not learned from; copies of a text count once; words and texts of any length are met whole; of entries
+both labels is not learned from; copies of a text count once, and near copies that share their smallest shingle hash too; words and texts of any length are met whole; of entries
 with equally few edits the first of the lexicon wins; equal rows get equal scores; an empty table gives no rows; other
 columns are not read.
 """
@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PER_LABEL = 3000
@@ -40,6 +40,8 @@ WINDOW = 6
 HEADS = range(4, 11)
 #: An entry is tested if so many toxic texts hold it.
 LEAST_TEXTS = 4
+#: A word stays beside its stem if it is in this share of the toxic texts that hold the stem.
+FORM_SHARE = 0.25
 
 # Marks and words that quote, and words that address someone, in the languages at hand.
 QUOTES = "\"'“”„«»‘’‹›"
@@ -70,13 +72,24 @@ class Lexicon:
             else:
                 node["$"] = (limit(len(e)), at)
         for node in self.root.values():
-            self._bound(node)
-
-    def _bound(self, node: dict) -> int:
-        """Keeps in every node, under "", the most edits that any entry below it allows."""
-        own = [node[c][0] for c in "$*" if c in node]
-        node[""] = max([*own, *(self._bound(child) for c, child in node.items() if c not in "$*")])
-        return node[""]
+            self._bound(node, 1)
+
+    def _bound(self, node: dict, depth: int) -> tuple[int, int]:
+        """Keeps in every node, under "", the most edits that any entry below it allows, and under "#" the lengths of words
+        that some entry below it can meet, as bits."""
+        most = lengths = 0
+        if "$" in node:
+            k = most = node["$"][0]
+            lengths = ((1 << (2 * k + 1)) - 1) << (depth - k)
+        if "*" in node:
+            k = node["*"][0]
+            most, lengths = max(most, k), lengths | (-1 << max(0, depth - k))
+        for c, child in node.items():
+            if c not in "$*":
+                a, b = self._bound(child, depth + 1)
+                most, lengths = max(most, a), lengths | b
+        node[""], node["#"] = most, lengths
+        return most, lengths
 
     def _exact(self, node: dict, word: str, at: int = 1) -> tuple[int, int] | None:
         """The entry in this branch that word, from its letter `at` on, holds without edits."""
@@ -99,9 +112,12 @@ class Lexicon:
         word = word[: self.reach]
         if not word or (node := self.root.get(word[0])) is None:
             return None
+        n = len(word)
+        if not node["#"] >> n & 1:
+            return None
         if not node[""]:
             return self._exact(node, word)
-        best, n = (3, -1), len(word)
+        best = (3, -1)
         todo = [(node, list(range(1, -1, -1)) + list(range(1, n)))]
         while todo:
             node, row = todo.pop()
@@ -112,7 +128,7 @@ class Lexicon:
             if best[0] == 0:
                 return best
             for c, child in node.items():
-                if c in "$*":  # and ""
+                if c in "$*#" or not child["#"] >> n & 1:  # and ""
                     continue
                 if not child[""]:
                     depth = self._depth(row)
@@ -218,7 +234,7 @@ def choose(counts: list[tuple[str, int, int]], toxic: int, other: int, least_sha
 
     Chosen is what toxic texts hold more often than chance allows at the 5 % level over all entries tested, and mostly (by
     Wilson's bound). An entry's weight is the log-odds of that bound. Of stems that say the same the longest stays; words
-    stay beside their stems, as they allow more edits."""
+    stay beside their stems unless they are rare forms, as they allow more edits."""
     tested = [(e, n, m) for e, n, m in counts if n >= max(LEAST_TEXTS, least_share * toxic)]
     rate = min(0.5, toxic / max(toxic + other, 1))
     sure = math.log(0.05 / max(len(tested), 1))
@@ -234,7 +250,9 @@ def choose(counts: list[tuple[str, int, int]], toxic: int, other: int, least_sha
             kept.append(s)
     # a stem that is a whole word by itself stays a word, so that words merely beginning like it are left alone
     out = dict.fromkeys(k if good.get(k, 0) >= 0.9 * good[f"{k}*"] else f"{k}*" for k in kept)
-    out |= dict.fromkeys(e for e in good if not e.endswith("*"))
+    # a word beside its stem is met with more edits; a rare form of a stem is not worth an entry of its own
+    of = {e: next((k for k in kept if e.startswith(k)), None) for e in good if not e.endswith("*")}
+    out |= dict.fromkeys(e for e, k in of.items() if k is None or good[e] >= FORM_SHARE * good[f"{k}*"])
     one = {e: odds.get(e, odds.get(f"{e}*", 0.0)) for e in out}
     return sorted(((e, min(4.0, w)) for e, w in one.items()), key=lambda x: (-good.get(x[0], 0), x[0]))
 
@@ -256,13 +274,25 @@ def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return w[:-1], float(w[-1])
 
 
+def sketch(text: Column) -> Column:
+    """The smallest hash of a text's shingles (of one without words 0): near copies share it as often as they are alike."""
+    from .neardup import shingles
+
+    @F.pandas_udf("long")
+    def smallest(texts: pd.Series) -> pd.Series:
+        return pd.Series([int(u[0].view(np.int64)) if len(u := shingles(t)) else 0 for t in texts], dtype="int64")
+
+    return smallest(text)
+
+
 def train(rows: DataFrame, text: str = "text", label: str = "toxic") -> Model:
     """rows: labelled rows that may be learned from, a bounded number of documents; label is 0 or 1, others are left out."""
     from .common import table, text_bytes
 
     rows = rows.select(F.col(label).cast("int").alias("y"), text_bytes(text).alias("t")).where(F.col("y").isin(0, 1))
-    # copies count once: a word of one copied text says little
-    drawn = table(rows.groupBy("t").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select("y", "t"), "labelled")
+    # copies count once, and near copies mostly: a word of one copied text says little
+    once = rows.groupBy("t").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z")
+    drawn = table(once.groupBy("y", sketch(F.col("t")).alias("s")).agg(F.min("t").alias("t")).select("y", "t"), "labelled")
     size = {r["y"]: r["count"] for r in drawn.groupBy("y").count().collect()}
     if not size.get(1):
         return Model()

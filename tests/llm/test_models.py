@@ -21,7 +21,7 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     rows = toxicity.rate(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert sum(r["predicted"] == r["toxic"] for r in rows) / len(rows) > 0.9
-    # some documents are labelled toxic without a term that any other toxic one has; of the rest nearly all are found
+    # some documents are labelled toxic without a plain term; of those with one nearly all are found
     text = {r["doc_id"]: r["text"].lower() for r in docs.join(labels, "doc_id").collect()}
     insults = {"idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathetic", "worthless", "disgusting"}
     toxic = [r for r in rows if r["toxic"] == 1 and insults & set(text[r["doc_id"]].split())]
