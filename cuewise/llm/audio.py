@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import limit, skew_join, table, text_bytes
+from .common import limit, scratch, skew_join, table, text_bytes
 
 RATE, HOP, FRAME = 4096, 128, 256
 WIDEST, PHASES = 16, 16
@@ -213,23 +213,24 @@ def links(prints: DataFrame, id: str) -> tuple[DataFrame, DataFrame]:
 
     prints: a table of fingerprint's output with a column id (a whole number; it need not be unique).
     """
-    heard = prints.where("n_codes > 0").withColumn("d", F.sha2("codes", 256))
-    # min: one recording stands for all rows of a class, whichever task is first
-    own = heard.groupBy("d").agg(F.min(id).alias("id"), F.count(F.lit(1)).alias("copies"), F.first("codes").alias("codes"), F.min("phases").alias("phases"))
-    classes = table(own.withColumn("c", F.monotonically_increasing_id()), "audio")
-    index = table(classes.select("c", "codes").mapInArrow(_index, INDEX), "keys")
-    asked = classes.where("phases is not null").select("c", "phases").mapInArrow(_asked, "a long, phase int, k long, at_a long")
-    n = index.count()
-    hot = [r["k"] for r in index.groupBy("k").count().where(F.col("count") > limit(n)).select("k").collect()]  # fewer than HEAVY
-    if hot:
-        heavy = F.col("k").isin(hot)
-        index = index.withColumn("salt", F.when(heavy, F.pmod(F.xxhash64("c"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
-        asked = asked.withColumn("salt", F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    met = asked.join(index, ["k", "salt"] if hot else ["k"]).where("a <> c")
-    votes = met.groupBy("a", F.col("c").alias("b"), "phase", (F.col("at_a") - F.col("at")).alias("offset")).agg(F.count(F.lit(1)).alias("votes"))
-    spots = table(votes.groupBy("a", "b").agg(F.collect_list(F.struct("phase", "offset", "votes")).alias("spots")), "spots")
-    both = skew_join(table(skew_join(spots, classes.select(F.col("c").alias("a"), "phases"), ["a"]), "half"), classes.select(F.col("c").alias("b"), "codes"), ["b"])
-    sure = table(both.select("a", "b", "phases", "codes", "spots").mapInArrow(_verified, "a long, b long, offset long, shift long, votes long, bit_error double"), "sure")
+    with scratch(prints.sparkSession) as keep:
+        heard = prints.where("n_codes > 0").withColumn("d", F.sha2("codes", 256))
+        # min: one recording stands for all rows of a class, whichever task is first
+        own = heard.groupBy("d").agg(F.min(id).alias("id"), F.count(F.lit(1)).alias("copies"), F.first("codes").alias("codes"), F.min("phases").alias("phases"))
+        classes = keep(table(own.withColumn("c", F.monotonically_increasing_id()), "audio"))
+        index = table(classes.select("c", "codes").mapInArrow(_index, INDEX), "keys")
+        asked = classes.where("phases is not null").select("c", "phases").mapInArrow(_asked, "a long, phase int, k long, at_a long")
+        n = index.count()
+        hot = [r["k"] for r in index.groupBy("k").count().where(F.col("count") > limit(n)).select("k").collect()]  # fewer than HEAVY
+        if hot:
+            heavy = F.col("k").isin(hot)
+            index = index.withColumn("salt", F.when(heavy, F.pmod(F.xxhash64("c"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+            asked = asked.withColumn("salt", F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+        met = asked.join(index, ["k", "salt"] if hot else ["k"]).where("a <> c")
+        votes = met.groupBy("a", F.col("c").alias("b"), "phase", (F.col("at_a") - F.col("at")).alias("offset")).agg(F.count(F.lit(1)).alias("votes"))
+        spots = table(votes.groupBy("a", "b").agg(F.collect_list(F.struct("phase", "offset", "votes")).alias("spots")), "spots")
+        both = skew_join(table(skew_join(spots, classes.select(F.col("c").alias("a"), "phases"), ["a"]), "half"), classes.select(F.col("c").alias("b"), "codes"), ["b"])
+        sure = keep(table(both.select("a", "b", "phases", "codes", "spots").mapInArrow(_verified, "a long, b long, offset long, shift long, votes long, bit_error double"), "sure"))
     return classes, sure
 
 
