@@ -100,13 +100,13 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
 
     Rows of heavy keys of left meet their few rows of right by broadcast (fewer than HEAVY of them) and are then dealt by a
     hash of the whole row, so no task gets all rows of a key. hot: the heavy keys if they are known; else left, a table, is
-    counted.
+    counted. n: the rows of left, or more, if known.
     """
-    if hot is None:
-        n = left.count() if n is None else n
-        if n <= MANY:
-            return left.join(right, on, how)
-        hot = heavy(left, on, n)
+    if hot is None and n is None:
+        n = left.count()
+    if n is not None and n <= MANY:  # no key can be heavy
+        return left.join(right, on, how)
+    hot = heavy(left, on, n) if hot is None else hot
     keys = hot.select(*on).collect()  # fewer than HEAVY
     if not keys:
         return left.join(right, on, how)

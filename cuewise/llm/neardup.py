@@ -218,11 +218,11 @@ def components(edges: DataFrame) -> DataFrame:
             both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
             many = limit(state[0])
             least = table(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c")).select(F.col("u").alias("v"), F.least("u", "m").alias("m"), "c"), "least")
-            big = skew_join(e, least.drop("c"), ["v"], hot=least.where(F.col("c") > many).select("v")).select("u", F.col("m").alias("v")).distinct()
+            big = skew_join(e, least.drop("c"), ["v"], hot=least.where(F.col("c") > many).select("v"), n=state[0]).select("u", F.col("m").alias("v")).distinct()
             # small star: every smaller neighbour of u, and u itself, is tied to the smallest of them
             big = table(big.where("u <> v"), "star")
             low = table(big.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c")), "low")
-            small = skew_join(big, low.drop("c"), ["u"], hot=low.where(F.col("c") > many).select("u"))
+            small = skew_join(big, low.drop("c"), ["u"], hot=low.where(F.col("c") > many).select("u"), n=state[0])
             pairs = F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("p")
             e = keep(table(small.select(pairs).select("p.u", "p.v").where("u <> v").distinct(), "edges"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(e.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
