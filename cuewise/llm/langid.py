@@ -256,7 +256,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame(rows, columns=["lang", "score"])
 
     p = "_lang_prediction"
-    return docs.withColumn(p, judge(text_bytes(text))).withColumn("lang_pred", F.col(f"{p}.lang")).withColumn("score", F.col(f"{p}.score")).drop(p)
+    # said not to be deterministic, so that a filter on the answer does not ask a second time
+    return docs.withColumn(p, judge.asNondeterministic()(text_bytes(text))).withColumn("lang_pred", F.col(f"{p}.lang")).withColumn("score", F.col(f"{p}.score")).drop(p)
 
 
 def remainder(of: int):
