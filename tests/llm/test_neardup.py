@@ -2,8 +2,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from cuewise.llm import neardup
+from cuewise.llm import common, neardup
 
 
 def brute(rows, threshold=0.85):
@@ -119,3 +120,19 @@ def test_heavy_groups_and_very_long_texts(spark, docs_of, monkeypatch):
     rows = [(i, " ".join(varied(rnd, base, rnd.choice((0, 1, 1, 2, 3))))) for i in range(120)] + [(1000 + i, " ".join(base)) for i in range(100)]
     rows += [(2000 + i, " ".join(varied(rnd, long, 300 * i))) for i in range(4)] + [(3000 + i, "") for i in range(60)] + [(4000 + i, " ".join(text(rnd, 40))) for i in range(30)]
     check(spark, docs_of, rows)
+
+
+def test_batches_of_tables_are_small(spark):
+    """Wide rows go to Python a few megabytes at a time when a table is written, and the session's own sizes stay; no row is lost."""
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], names=["n", "bytes"])
+
+    before = {k: spark.conf.get(k, None) for k in common.ARROW}
+    for wide, most in ((9_000, 5_000_000), (10, 100_000)):
+        df = spark.range(0, 3_500, 1, 1).select(F.repeat(F.lit("x"), wide).cast("binary").alias("b"))
+        got = common.table(df.mapInArrow(sizes, "n long, bytes long"), "sizes").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max("bytes").alias("bytes")).first()
+        assert got["n"] == 3_500 and got["most"] <= 1_000 and got["bytes"] <= most
+    assert before == {k: spark.conf.get(k, None) for k in common.ARROW}
